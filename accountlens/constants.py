@@ -83,5 +83,6 @@ ROLLING_WINDOW_MONTHS = 3
 EMPLOYER_RETENTION_MONTHS = 24
 INTERACTION_RETENTION_MONTHS = 36
 
-# --- fixed values: CSV tokens read as null ---------------------------------
-NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A", "<NA>", "n/a", "-NaN", "-nan"]
+# --- fixed values: CSV cell texts read as null (the pandas default list) ----
+NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]

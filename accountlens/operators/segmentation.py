@@ -81,6 +81,12 @@ def _scaled(x: Column, lo, hi) -> Column:
     return F.when(hi_c == lo_c, F.when(x.isNotNull(), F.lit(0.0))).otherwise((x - lo_c) / (hi_c - lo_c))
 
 
+def scale_minmax(df: DataFrame, cols) -> DataFrame:
+    """SEG4: ``{col}_scaled`` in [0, 1] from one aggregated row of min/max (entered as literals)."""
+    row = minmax_stats(df, cols).first()
+    return df.withColumns({f"{c}_scaled": _scaled(F.col(c), row[f"__min_{c}"], row[f"__max_{c}"]) for c in cols})
+
+
 def rfm_score_expr(r: Column, f: Column, m: Column) -> Column:
     w = C.RFM_WEIGHTS
     return round_half_even(r * F.lit(w["r"]) + f * F.lit(w["f"]) + m * F.lit(w["m"]), C.RFM_DIGITS)
@@ -105,11 +111,11 @@ def minmax_stats(df: DataFrame, cols=RFM_INPUTS) -> DataFrame:
 
 
 def normalize_rfm(df: DataFrame) -> DataFrame:
-    """SEG4-SEG6 as a lazy plan: the 1-row stats are broadcast (size fixed at one row)."""
-    stats = minmax_stats(df)
-    joined = df.crossJoin(F.broadcast(stats))
-    out = _with_scores(joined, [F.col(f"__min_{c}") for c in RFM_INPUTS], [F.col(f"__max_{c}") for c in RFM_INPUTS])
-    return out.drop(*stats.columns)
+    """SEG4-SEG6: min and max come from one aggregated row and enter the plan as literals."""
+    row = minmax_stats(df).first()
+    lows = [row[f"__min_{c}"] for c in RFM_INPUTS]
+    highs = [row[f"__max_{c}"] for c in RFM_INPUTS]
+    return _with_scores(df, lows, highs)
 
 
 # ---------------------------------------------------------------------------

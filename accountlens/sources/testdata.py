@@ -194,3 +194,40 @@ vacancies AS (
   FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_orderkey) s
        ON o.o_orderkey = s.l_orderkey
 )"""
+
+
+# ---------------------------------------------------------------------------
+# Injected faults for the contract / quality queries (same rules as the SQL forms)
+# ---------------------------------------------------------------------------
+
+def dirty_employers(emp: DataFrame) -> DataFrame:
+    """Nulls, duplicates, unknown values and future dates keyed on the customer key; all rows kept."""
+    k = F.col("employer_id").cast("long")
+    return emp.select(
+        F.when(k % 97 == 1, F.lit(None).cast("string")).when(k % 89 == 2, (k - 1).cast("string"))
+        .otherwise(F.col("employer_id")).alias("employer_id"),
+        "company_name",
+        F.when(k % 83 == 3, F.lit("giant")).otherwise(F.col("company_size")).alias("company_size"),
+        F.when(k % 67 == 7, F.lit("mining")).otherwise(F.col("sector")).alias("sector"),
+        "region",
+        F.when(k % 79 == 4, F.lit("Unknown")).otherwise(F.col("status")).alias("status"),
+        "revenue_potential",
+        F.when(k % 71 == 6, F.lit(None).cast("date")).when(k % 73 == 5, F.add_months("last_contact_date", 120))
+        .otherwise(F.col("last_contact_date")).alias("last_contact_date"),
+        "frequency_12m",
+    )
+
+
+def dirty_interactions(inter: DataFrame) -> DataFrame:
+    k = F.col("interaction_id").cast("long")
+    return inter.select(
+        F.when(k % 997 == 1, F.lit(None).cast("string")).when(k % 991 == 2, (k - 1).cast("string"))
+        .otherwise(F.col("interaction_id")).alias("interaction_id"),
+        F.when(k % 971 == 5, F.lit(None).cast("string")).when(k % 953 == 8, F.concat(F.lit("X"), F.col("employer_id")))
+        .otherwise(F.col("employer_id")).alias("employer_id"),
+        F.when(k % 967 == 6, F.lit(None).cast("date")).when(k % 961 == 7, F.add_months("interaction_date", 240))
+        .otherwise(F.col("interaction_date")).alias("interaction_date"),
+        F.when(k % 983 == 3, F.lit("carrier_pigeon")).otherwise(F.col("interaction_type")).alias("interaction_type"),
+        F.when(k % 977 == 4, F.lit("maybe")).otherwise(F.col("outcome")).alias("outcome"),
+        "follow_up_required", "consultant_id",
+    )
