@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from accountlens import constants as C
 from accountlens.functions.expressions import clip, nan_to_null, round_half_even, whole_days_since
+from accountlens.operators.kmeans import fit_batched
 from accountlens.session import materialize
 
 RFM_INPUTS = ["recency_days", "frequency_12m", "revenue_potential"]
@@ -211,15 +212,17 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
                        typeConverter=TypeConverters.toString)
     rowsPerPartition = Param(Params._dummy(), "rowsPerPartition", "fit rows per partition",
                              typeConverter=TypeConverters.toInt)
-    parallelism = Param(Params._dummy(), "parallelism", "K-Means restarts fitted concurrently",
+    parallelism = Param(Params._dummy(), "parallelism", "MLlib restarts fitted concurrently",
                         typeConverter=TypeConverters.toInt)
+    solver = Param(Params._dummy(), "solver", "'mllib' (one MLlib KMeans per restart) or 'batched' (all restarts per pass)",
+                   typeConverter=TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
         self._setDefault(nSegments=C.KMEANS_N_SEGMENTS, nInit=C.KMEANS_N_INIT, seed=C.KMEANS_SEED,
                          maxIter=C.KMEANS_MAX_ITER, tol=1e-4, idCol="employer_id",
                          lastContactCol="last_contact_date", nullPolicy="error",
-                         rowsPerPartition=1_000_000, parallelism=8)
+                         rowsPerPartition=1_000_000, parallelism=8, solver="mllib")
 
 
 class RFMSegmenter(Estimator, _SegmenterParams):
@@ -227,7 +230,8 @@ class RFMSegmenter(Estimator, _SegmenterParams):
 
     @keyword_only
     def __init__(self, *, asOf=None, nSegments=None, nInit=None, seed=None, maxIter=None, tol=None,
-                 idCol=None, lastContactCol=None, nullPolicy=None, rowsPerPartition=None, parallelism=None):
+                 idCol=None, lastContactCol=None, nullPolicy=None, rowsPerPartition=None, parallelism=None,
+                 solver=None):
         super().__init__()
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         if "asOf" in kwargs:
@@ -269,14 +273,30 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         if k == 1:
             centres = [[0.0, 0.0, 0.0]]
         else:
-            eps = _shift_tolerance(self.getOrDefault("tol"), stats_row, lows, highs, k)
-            centres = self._fit_kmeans(scored, id_col, n_fit, k, eps)
+            tol_abs = _abs_tolerance(self.getOrDefault("tol"), stats_row, lows, highs)
+            if self.getOrDefault("solver") == "mllib":
+                eps = max(math.sqrt(tol_abs / k), 1e-12)
+                centres = self._fit_kmeans(scored, id_col, n_fit, k, eps)
+            else:
+                centres = self._fit_batched(scored, id_col, k, tol_abs)
         assigned = scored.withColumn("cluster", nearest_centre_expr(centres))
         rank_map = rank_clusters(assigned)
         model = RFMSegmenterModel(lows=lows, highs=highs, centres=centres, rank_map=rank_map)
         self._copyValues(model)
         return model
 
+    def _fit_batched(self, scored: DataFrame, id_col: str, k: int, tol_abs: float) -> list[list[float]]:
+        """All restarts per pass (see ``kmeans``); the row hash makes the draws placement-independent."""
+        key = [id_col] if id_col in scored.columns else SCORE_COLS
+        rows = scored.select(F.xxhash64(*key, F.lit(self.getOrDefault("seed"))).alias("__h"), *SCORE_COLS)
+        rows = materialize(rows).cache()
+        try:
+            centres, _ = fit_batched(rows, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
+                                     self.getOrDefault("maxIter"), tol_abs)
+        finally:
+            rows.unpersist()
+        return centres
+
     def _fit_kmeans(self, scored: DataFrame, id_col: str, n_fit: int, k: int, eps: float) -> list[list[float]]:
         n_parts = max(1, math.ceil(n_fit / self.getOrDefault("rowsPerPartition")))
         key = [id_col] if id_col in scored.columns else SCORE_COLS
@@ -307,20 +327,18 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         return best[2]
 
 
-def _shift_tolerance(tol: float, stats_row, lows, highs, k: int) -> float:
-    """Map a variance-relative tolerance onto MLlib's per-centre shift threshold.
+def _abs_tolerance(tol: float, stats_row, lows, highs) -> float:
+    """``tol * mean variance of the scaled features``: the summed squared centre shift that counts as converged.
 
-    Convergence is declared when the summed squared centre shift is below
-    ``tol * mean feature variance``. MLlib stops when every centre moved less
-    than ``eps``; ``eps = sqrt(tol * mean_var / k)`` guarantees the summed rule.
+    (For MLlib, which stops when every centre moved less than ``eps``,
+    ``eps = sqrt(tol_abs / k)`` guarantees the summed rule.)
     """
     variances = []
     for c, lo, hi in zip(RFM_INPUTS, lows, highs):
         v = stats_row[f"var_{c}"] or 0.0
         rng = (hi - lo) if (hi is not None and lo is not None) else 0.0
         variances.append(v / (rng * rng) if rng else 0.0)
-    mean_var = sum(variances) / len(variances)
-    return max(math.sqrt(tol * mean_var / k), 1e-12)
+    return tol * sum(variances) / len(variances)
 
 
 def _complete(cols) -> Column:
