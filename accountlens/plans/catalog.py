@@ -418,7 +418,19 @@ _con_subset("con7_value_in_set", ("isin",))
 _con_subset("con8_bounds", ("greater_than(0)", "greater_than_or_equal_to(0)"))
 
 
-@q("con_quarantine_good_rows")
+_QUARANTINE_SQL = (S.with_base(S.dirty_employers_cte()) + f"""
+SELECT employer_id, company_name, company_size, sector, region, status, revenue_potential,
+       CAST(last_contact_date AS VARCHAR) AS last_contact_date, frequency_12m
+FROM dirty_employers
+WHERE employer_id IS NOT NULL AND company_size IS NOT NULL AND status IS NOT NULL
+  AND company_size IN ({S.in_list(C.VALID_SIZES)}) AND status IN ({S.in_list(C.VALID_STATUSES)})
+  AND (sector IS NULL OR sector IN ({S.in_list(C.VALID_SECTORS)}))
+  AND NOT coalesce(revenue_potential <= 0, false) AND NOT coalesce(frequency_12m < 0, false)
+  AND employer_id NOT IN (SELECT employer_id FROM dirty_employers WHERE employer_id IS NOT NULL
+                          GROUP BY employer_id HAVING count(*) > 1)""")
+
+
+@q("con_quarantine_good_rows", _QUARANTINE_SQL)
 def con_quarantine(spark, sf):
     good, _bad = con.validate_contract(_dirty_emp(spark, sf), con.EMPLOYER_CONTRACT, mode="quarantine")
     return good
