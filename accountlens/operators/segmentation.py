@@ -251,6 +251,9 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         id_col = self.getOrDefault("idCol")
 
         feats = compute_rfm(dataset, as_of, self.getOrDefault("lastContactCol"))
+        # the fit reads its inputs several times (stats, K-Means, ranking): derive them once
+        keep = [id_col] if id_col in feats.columns else []
+        feats = materialize(feats.select(*keep, *RFM_INPUTS))
         complete = _complete(RFM_INPUTS)
         stats_row = feats.agg(
             *[F.min(nan_to_null(F.col(c))).alias(f"min_{c}") for c in RFM_INPUTS],
@@ -368,14 +371,19 @@ class RFMSegmenterModel(Model, _SegmenterParams):
 
 
 def fit_transform(df: DataFrame, as_of, **params) -> DataFrame:
-    """SEG11: fit on ``df`` and score it (row count preserved, input untouched)."""
+    """SEG11: fit on ``df`` and score it (row count preserved, input untouched).
+
+    The input is checkpointed once, so its upstream plan (scans, aggregations,
+    joins) runs once for both the fit and the scoring.
+    """
+    df = materialize(df)
     model = RFMSegmenter(asOf=str(as_of), **params).fit(df)
     return model.transform(df)
 
 
 def segment_with_clusters(df: DataFrame, as_of, cluster_col: str = "cluster") -> DataFrame:
     """SEG1-SEG6 + SEG8-SEG10 with a given cluster column instead of a K-Means fit."""
-    scored = normalize_rfm(compute_rfm(df, as_of))
+    scored = normalize_rfm(materialize(compute_rfm(df, as_of)))
     if cluster_col != "cluster":
         scored = scored.withColumn("cluster", F.col(cluster_col).cast("int"))
     ranks = rank_clusters(scored)
