@@ -65,12 +65,17 @@ def rfm_ctes(source: str = "employers") -> list[str]:
     ]
 
 
+def clip_sql(expr: str, lo: float, hi: float) -> str:
+    """Clip keeping null as null (``least``/``greatest`` skip nulls)."""
+    return f"(CASE WHEN ({expr}) IS NULL THEN NULL ELSE least(greatest({expr}, {dbl(lo)}), {dbl(hi)}) END)"
+
+
 def priority_sql() -> str:
     w = C.PRIORITY_WEIGHTS
     raw = (f"(1.0::DOUBLE - rfm_score) * {dbl(w['rfm'])} + "
-           f"least(greatest(CAST(recency_days AS DOUBLE) / {dbl(C.PRIORITY_RECENCY_DAYS)}, 0.0::DOUBLE), 1.0::DOUBLE) * {dbl(w['recency'])} + "
+           f"{clip_sql(f'CAST(recency_days AS DOUBLE) / {dbl(C.PRIORITY_RECENCY_DAYS)}', 0, 1)} * {dbl(w['recency'])} + "
            f"(1.0::DOUBLE - f_score) * {dbl(w['frequency'])}")
-    return rne(f"least(greatest({raw}, 0.0::DOUBLE), 1.0::DOUBLE) * 100.0::DOUBLE", 1)
+    return rne(f"{clip_sql(raw, 0, 1)} * 100.0::DOUBLE", 1)
 
 
 def segmented_ctes(source: str = "employers") -> list[str]:
