@@ -59,13 +59,14 @@ def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=()) -
     by = list(by)
     counts = (fact.groupBy(*by, F.trunc(F.col(date_col).cast("date"), "month").alias("month_start"))
               .agg(F.count(F.lit(1)).cast("long").alias("interactions")))
+    # bounds and groups come from the (small) monthly aggregate, not from the fact
     if not by:
-        grid = month_dimension(fact, date_col)
+        grid = month_dimension(counts, "month_start")
     else:
-        lo, hi = month_bounds(fact, date_col)
+        lo, hi = month_bounds(counts, "month_start")
         if lo is None:
             return counts
-        grid = fact.select(*by).distinct().select(*by, _month_seq(lo, hi).alias("month_start"))
+        grid = counts.select(*by).distinct().select(*by, _month_seq(lo, hi).alias("month_start"))
     return (grid.join(counts, on=[*by, "month_start"], how="left")
             .withColumn("interactions", F.coalesce(F.col("interactions"), F.lit(0)).cast("long")))
 

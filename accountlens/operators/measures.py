@@ -30,6 +30,9 @@ def daily_fact(interactions: DataFrame, employers: DataFrame | None = None, by=(
                date_col: str = "interaction_date") -> DataFrame:
     """Interactions per (group, day): the aggregate all interaction measures start from."""
     by = _by(by)
+    if not by:
+        return (interactions.groupBy(F.col(date_col).cast("date").alias("date"))
+                .agg(F.count(F.lit(1)).cast("long").alias("interactions")))
     per_emp_day = (interactions.groupBy("employer_id", F.col(date_col).cast("date").alias("date"))
                    .agg(F.count(F.lit(1)).alias("n")))
     if by:
