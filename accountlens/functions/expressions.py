@@ -54,11 +54,6 @@ def nan_to_null(col: Column) -> Column:
     return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col.cast("double"))
 
 
-def in_set_or_null(col: Column, values) -> Column:
-    """True when the value is null or in the set (contract semantics: null passes)."""
-    return col.isNull() | col.isin(list(values))
-
-
 def in_set_strict(col: Column, values) -> Column:
     """True only for non-null values in the set (quality-check semantics: null fails)."""
     return F.coalesce(col.isin(list(values)), F.lit(False))
@@ -71,15 +66,6 @@ def pseudonym(col: Column, salt: str) -> Column:
         F.concat(F.lit(C.PSEUDONYM_PREFIX), F.substring(digest, 1, C.PSEUDONYM_HEX_CHARS)))
 
 
-def to_date_strict(col: Column, dtype: T.DataType) -> Column:
-    """Parse a date column; malformed text raises under ANSI mode (as the reference does)."""
-    if isinstance(dtype, T.DateType):
-        return col
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(col)
-    return F.to_date(F.to_timestamp(col.cast("string")))
-
-
 def to_timestamp_lenient(col: Column, dtype: T.DataType, fmt: str | None = None) -> Column:
     """Parse to timestamp, malformed or null -> null (quality checks never fail on them)."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):

@@ -77,7 +77,3 @@ def previous_month(counts: DataFrame, value_col: str = "interactions", by=(), ou
     prev_month = F.lag("month_start", 1).over(w)
     prev_val = F.lag(value_col, 1).over(w)
     return counts.withColumn(out_col, F.when(prev_month == F.add_months(F.col("month_start"), -1), prev_val))
-
-
-def month_end_of(col: Column) -> Column:
-    return F.last_day(col)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,7 +65,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
-    import uuid
     return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -77,7 +76,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def env_or(name: str, default=None):
-    return os.environ.get(name, default)
