@@ -6,8 +6,8 @@ one after another (MLlib, the default solver) costs ``restarts x iterations``
 scans of the cached points; this solver serves all restarts with every scan:
 
 * seeding: ``k`` passes; in pass ``s`` each partition proposes, per restart, the
-  row with the largest Efraimidis-Spirakis key ``log(u) / D^2`` (D^2-weighted
-  sampling; ``u`` is derived from a hash of the row key, so draws do not
+  point with the largest Efraimidis-Spirakis key ``log(u) / (w D^2)`` (weight x
+  D^2 sampling; ``u`` is derived from a hash of the point, so draws do not
   depend on partitioning); ``groupBy(restart)`` + ``max_by`` picks the winner;
 * Lloyd: each partition computes nearest centres and per-(restart, cluster)
   partial sums with NumPy on Arrow batches; ``groupBy(restart, cluster)``
@@ -47,8 +47,9 @@ def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return np.einsum("nkd,nkd->nk", diff, diff)
 
 
-def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int) -> dict:
-    """One D^2-sampling pass: a new centre for every restart in ``restarts``."""
+def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int,
+               weight_col: str | None = None) -> dict:
+    """One D^2-sampling pass: a new centre for every restart in ``restarts`` (probability ~ weight x D^2)."""
     d = len(cols)
     frozen = {r: (np.asarray(centres[r]) if centres.get(r) else np.zeros((0, d))) for r in restarts}
 
@@ -60,15 +61,15 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
                 continue
             X = pdf[cols].to_numpy(dtype=np.float64)
             h = pdf["__h"].to_numpy().astype(np.int64).view(np.uint64)
+            w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
             for r in restarts:
                 u = _uniform(h, r, step)
                 C = frozen[r]
                 if len(C) == 0:
-                    key = np.log(u)
+                    key = np.log(u) / w
                 else:
-                    dmin = _sqdist(X, C).min(axis=1)
-                    with np.errstate(divide="ignore"):
-                        key = np.where(dmin > 0, np.log(u) / np.where(dmin > 0, dmin, 1.0), -np.inf)
+                    p = _sqdist(X, C).min(axis=1) * w
+                    key = np.where(p > 0, np.log(u) / np.where(p > 0, p, 1.0), -np.inf)
                 i = int(np.argmax(key))
                 if key[i] > best_key[r]:
                     best_key[r], best_pt[r] = float(key[i]), X[i]
@@ -82,8 +83,8 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
     return {int(row["restart"]): [float(row["p"][c]) for c in cols] for row in chosen}
 
 
-def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict) -> dict:
-    """Per (restart, cluster): count, coordinate sums and squared-distance sum w.r.t. ``centres``."""
+def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None) -> dict:
+    """Per (restart, cluster): weight, weighted coordinate sums and squared-distance sum w.r.t. ``centres``."""
     frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
 
     def partial(batches):
@@ -92,34 +93,36 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict) -> dict:
             if pdf.empty:
                 continue
             X = pdf[cols].to_numpy(dtype=np.float64)
+            w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
             rows_idx = np.arange(len(X))
             for r, C in frozen.items():
                 D = _sqdist(X, C)
                 lab = np.argmin(D, axis=1)          # ties -> lowest index
                 k = len(C)
                 n, s, e = acc[r]
-                n += np.bincount(lab, minlength=k)
+                n += np.bincount(lab, weights=w, minlength=k)
                 for j in range(len(cols)):
-                    s[:, j] += np.bincount(lab, weights=X[:, j], minlength=k)
-                e += np.bincount(lab, weights=D[rows_idx, lab], minlength=k)
-        rows = [(r, c, int(n[c]), *map(float, s[c]), float(e[c]))
+                    s[:, j] += np.bincount(lab, weights=X[:, j] * w, minlength=k)
+                e += np.bincount(lab, weights=D[rows_idx, lab] * w, minlength=k)
+        rows = [(r, c, float(n[c]), *map(float, s[c]), float(e[c]))
                 for r, (n, s, e) in acc.items() for c in range(len(n)) if n[c] > 0]
         yield pd.DataFrame(rows, columns=["restart", "cluster", "n", *[f"s_{c}" for c in cols], "sse"])
 
-    schema = "restart int, cluster int, n long, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
+    schema = "restart int, cluster int, n double, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
     agg = (points.mapInPandas(partial, schema)
            .groupBy("restart", "cluster")
            .agg(F.sum("n").alias("n"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in cols], F.sum("sse").alias("sse"))
            .collect())
-    return {(int(row["restart"]), int(row["cluster"])): (int(row["n"]), [float(row[f"s_{c}"]) for c in cols],
+    return {(int(row["restart"]), int(row["cluster"])): (float(row["n"]), [float(row[f"s_{c}"]) for c in cols],
                                                          float(row["sse"])) for row in agg}
 
 
 def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_iter: int,
-                tol_abs: float) -> tuple[list[list[float]], float]:
+                tol_abs: float, weight_col: str | None = None) -> tuple[list[list[float]], float]:
     """Fit ``n_init`` restarts together; returns the centres and inertia of the best one.
 
-    ``points`` holds ``cols`` (complete rows only) and ``__h``, a 64-bit row hash.
+    ``points`` holds ``cols`` (complete rows only), ``__h`` (a 64-bit hash of the point) and
+    optionally a weight column (a point of weight w counts as w identical rows).
     A restart converges when its summed squared centre shift is <= ``tol_abs``;
     empty clusters keep their centre. Ties in inertia go to the lowest restart.
     """
@@ -127,7 +130,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     centres: dict[int, list[list[float]]] = {r: [] for r in restarts}
     open_r = list(restarts)
     for step in range(k):
-        picked = _seed_step(points, cols, centres, open_r, step)
+        picked = _seed_step(points, cols, centres, open_r, step, weight_col)
         open_r = [r for r in open_r if r in picked]   # no positive-distance row left: fewer centres
         for r in open_r:
             centres[r] = centres[r] + [picked[r]]
@@ -137,7 +140,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     for _ in range(max_iter):
         if not active:
             break
-        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)})
+        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
         for r in sorted(active):
             old = centres[r]
             new = []
@@ -149,7 +152,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
             if shift <= tol_abs:
                 active.discard(r)
 
-    final = _lloyd_pass(points, cols, centres)
+    final = _lloyd_pass(points, cols, centres, weight_col)
     inertia = {r: sum(v[2] for (rr, _), v in final.items() if rr == r) for r in centres}
     best = min(centres, key=lambda r: (inertia[r], r))
     return centres[best], inertia[best]

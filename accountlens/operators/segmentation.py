@@ -279,41 +279,53 @@ class RFMSegmenter(Estimator, _SegmenterParams):
             tol_abs = _abs_tolerance(self.getOrDefault("tol"), stats_row, lows, highs)
             if self.getOrDefault("solver") == "mllib":
                 eps = max(math.sqrt(tol_abs / k), 1e-12)
-                centres = self._fit_kmeans(scored, id_col, n_fit, k, eps)
+                centres = self._fit_kmeans(scored, n_fit, k, eps)
             else:
-                centres = self._fit_batched(scored, id_col, k, tol_abs)
+                centres = self._fit_batched(scored, n_fit, k, tol_abs)
         assigned = scored.withColumn("cluster", nearest_centre_expr(centres))
         rank_map = rank_clusters(assigned)
         model = RFMSegmenterModel(lows=lows, highs=highs, centres=centres, rank_map=rank_map)
         self._copyValues(model)
         return model
 
-    def _fit_batched(self, scored: DataFrame, id_col: str, k: int, tol_abs: float) -> list[list[float]]:
-        """All restarts per pass (see ``kmeans``); the row hash makes the draws placement-independent."""
-        key = [id_col] if id_col in scored.columns else SCORE_COLS
-        rows = scored.select(F.xxhash64(*key, F.lit(self.getOrDefault("seed"))).alias("__h"), *SCORE_COLS)
-        rows = materialize(rows).cache()
+    def _weighted_points(self, scored: DataFrame, n_fit: int) -> DataFrame:
+        """Identical score points collapsed into (point, weight): exact for K-Means, and copies of one
+        row (however many) become a single weighted point after a map-side partial count.
+
+        Placement depends on the point values only: hash-partitioned into a count derived from the
+        row count and sorted, so fits are repeatable whatever the upstream partitioning.
+        """
+        n_parts = max(1, math.ceil(n_fit / self.getOrDefault("rowsPerPartition")))
+        pts = scored.groupBy(*SCORE_COLS).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        return pts.repartition(n_parts, *SCORE_COLS).sortWithinPartitions(*SCORE_COLS)
+
+    def _fit_batched(self, scored: DataFrame, n_fit: int, k: int, tol_abs: float) -> list[list[float]]:
+        """All restarts per pass (see ``kmeans``); draws come from a hash of the point, not its placement."""
+        pts = self._weighted_points(scored, n_fit)
+        pts = pts.select(F.xxhash64(*SCORE_COLS, F.lit(self.getOrDefault("seed"))).alias("__h"), *SCORE_COLS, "weight")
+        pts = materialize(pts).cache()
         try:
-            centres, _ = fit_batched(rows, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
-                                     self.getOrDefault("maxIter"), tol_abs)
+            centres, _ = fit_batched(pts, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
+                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight")
         finally:
-            rows.unpersist()
+            pts.unpersist()
         return centres
 
-    def _fit_kmeans(self, scored: DataFrame, id_col: str, n_fit: int, k: int, eps: float) -> list[list[float]]:
-        n_parts = max(1, math.ceil(n_fit / self.getOrDefault("rowsPerPartition")))
-        key = [id_col] if id_col in scored.columns else SCORE_COLS
-        fit_rows = (scored.select(*key, *SCORE_COLS) if id_col in scored.columns else scored.select(*SCORE_COLS))
-        fit_rows = fit_rows.repartition(n_parts, *key).sortWithinPartitions(*key)
-        fit_rows = materialize(fit_rows)
-        vectors = VectorAssembler(inputCols=SCORE_COLS, outputCol="features").transform(fit_rows).select("features")
+    def _fit_kmeans(self, scored: DataFrame, n_fit: int, k: int, eps: float) -> list[list[float]]:
+        pts = materialize(self._weighted_points(scored, n_fit))
+        n_points = pts.count()  # distinct points; cheap on the checkpoint
+        if n_points <= 1:
+            row = pts.first()
+            return [[float(row[c]) for c in SCORE_COLS]]
+        k = min(k, n_points)    # MLlib fails with fewer points than centres; only existing clusters are ranked
+        vectors = VectorAssembler(inputCols=SCORE_COLS, outputCol="features").transform(pts).select("features", "weight")
         vectors = vectors.cache()
         seed0 = self.getOrDefault("seed")
         seeds = [seed0 + i for i in range(max(1, self.getOrDefault("nInit")))]
 
         def fit_one(s):
             km = KMeans(k=k, seed=s, maxIter=self.getOrDefault("maxIter"), tol=eps,
-                        featuresCol="features", predictionCol="prediction")
+                        featuresCol="features", predictionCol="prediction", weightCol="weight")
             m = km.fit(vectors)
             return m.summary.trainingCost, s, [list(map(float, c)) for c in m.clusterCenters()]
 

@@ -235,3 +235,17 @@ def test_model_transform_is_one_narrow_pass(spark, sample_employers):
 def test_segment_sizes(segmented, spark):
     sizes = seg.segment_sizes(spark.createDataFrame(segmented)).toPandas()
     assert sizes["count"].sum() == len(segmented)
+
+
+def test_hot_copies_collapse_to_one_weighted_point(spark):
+    """A third of the rows are copies of one row: they become one weighted point, results stay whole."""
+    rows = [(f"e{i}", f"2025-0{1 + i % 5}-{10 + i % 17}", i % 9, 1000.0 * (i + 1)) for i in range(40)]
+    rows += [("hot", "2024-12-01", 2, 5000.0)] * 20
+    df = _frame(spark, rows)
+    est = seg.RFMSegmenter(asOf=str(AS_OF), **FAST)
+    feats = seg.normalize_rfm(seg.compute_rfm(df, AS_OF))
+    pts = est._weighted_points(feats, 60).collect()
+    assert len(pts) == 41 and max(p["weight"] for p in pts) == 20.0
+    out = est.fit(df).transform(df).toPandas()
+    assert len(out) == 60 and out["segment_name"].notna().all()
+    assert out[out.employer_id == "hot"]["segment_name"].nunique() == 1
