@@ -101,8 +101,11 @@ def _row_rules(df: DataFrame, contract: Contract):
     return rules
 
 
-def violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """CON3-CON8 as a report: (column_name, check_name, failed_rows) for every rule, lazily."""
+def violations(df: DataFrame, contract: Contract, with_row_count: bool = False) -> DataFrame:
+    """CON3-CON8 as a report: (column_name, check_name, failed_rows) for every rule, lazily.
+
+    ``with_row_count`` adds a ('*', 'row_count', n) row computed by the same aggregation.
+    """
     spark = df.sparkSession
     schema = "column_name string, check_name string, failed_rows bigint"
     parts = []
@@ -110,6 +113,8 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     if missing:
         parts.append(spark.createDataFrame([(m, "column_in_dataframe", None) for m in missing], schema))
     rules = _row_rules(df, contract)
+    if with_row_count:
+        rules = rules + [("*", "row_count", F.lit(True))]
     if rules:
         agg = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, (_, _, cond) in enumerate(rules)])
         structs = [F.struct(F.lit(c).alias("column_name"), F.lit(chk).alias("check_name"),

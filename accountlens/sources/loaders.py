@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from accountlens.operators.contracts import EMPLOYER_CONTRACT, INTERACTION_CONTRACT, ContractError, violations, coerced
 from accountlens.operators.privacy import Pseudonymizer
+from accountlens.session import materialize
 from accountlens.sources.audit import AuditLog
 from accountlens.sources.files import load_file
 
@@ -23,16 +23,21 @@ class DataLoader:
         self.audit = AuditLog(spark)
 
     def _checked(self, df: DataFrame, contract) -> tuple[DataFrame, int]:
-        """Contract check in raise mode; the row count for the audit comes from the same job."""
-        report = violations(df, contract)
-        total = df.agg(F.count(F.lit(1)).alias("n"))
-        rows = report.collect()
+        """Contract check in raise mode; the audit row count comes from the same aggregation.
+
+        The parsed source is checkpointed first, so the text is parsed once for
+        the checks and every later use.
+        """
+        df = materialize(df)
+        rows = violations(df, contract, with_row_count=True).collect()
+        n = next(r["failed_rows"] for r in rows if r["check_name"] == "row_count")
+        rows = [r for r in rows if r["check_name"] != "row_count"]
         bad = [r for r in rows if r["failed_rows"] is None or r["failed_rows"] > 0]
         if bad:
             lines = [f"{r['column_name']}: {r['check_name']} ({r['failed_rows'] if r['failed_rows'] is not None else 'missing'})"
                      for r in bad]
             raise ContractError(f"contract '{contract.name}' failed:\n  " + "\n  ".join(lines))
-        return coerced(df, contract), int(total.first()["n"])
+        return coerced(df, contract), int(n)
 
     def load_employers(self, filename: str = "employers.csv") -> DataFrame:
         """SRC4: scan, contract CON1, pseudonymise PII1, audit."""
