@@ -214,7 +214,7 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
                              typeConverter=TypeConverters.toInt)
     parallelism = Param(Params._dummy(), "parallelism", "MLlib restarts fitted concurrently",
                         typeConverter=TypeConverters.toInt)
-    solver = Param(Params._dummy(), "solver", "'mllib' (one MLlib KMeans per restart) or 'batched' (all restarts per pass)",
+    solver = Param(Params._dummy(), "solver", "'batched' (all restarts per data pass) or 'mllib' (one MLlib KMeans per restart)",
                    typeConverter=TypeConverters.toString)
 
     def __init__(self):
@@ -222,7 +222,7 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
         self._setDefault(nSegments=C.KMEANS_N_SEGMENTS, nInit=C.KMEANS_N_INIT, seed=C.KMEANS_SEED,
                          maxIter=C.KMEANS_MAX_ITER, tol=1e-4, idCol="employer_id",
                          lastContactCol="last_contact_date", nullPolicy="error",
-                         rowsPerPartition=1_000_000, parallelism=8, solver="mllib")
+                         rowsPerPartition=1_000_000, parallelism=8, solver="batched")
 
 
 class RFMSegmenter(Estimator, _SegmenterParams):
