@@ -49,9 +49,10 @@ def avg_interactions_per_employer(interactions: DataFrame, employers: DataFrame,
     by = _by(by)
     daily = daily_fact(interactions, employers, by)
     if by:
-        last = daily.groupBy(*by).agg(F.max("date").alias("last_date"))
+        # the group's last date via a window over its (<= days) aggregated rows: no self-join
+        last = F.max("date").over(Window.partitionBy(*by))
         in_window = in_months_window(F.col("date"), F.col("last_date"), months)
-        num = daily.join(last, on=by, how="inner").groupBy(*by).agg(
+        num = daily.withColumn("last_date", last).groupBy(*by).agg(
             F.sum(F.when(in_window, F.col("interactions"))).cast("long").alias("interactions_12m"))
         den = active_employers(employers, by)
         joined = den.join(num, on=by, how="full")
