@@ -26,8 +26,12 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path (or glob) matches at least one file or directory."""
-    p, fs = _fs_path(spark, path)
+    """True when the path (or glob) matches at least one file or directory (Hadoop file system)."""
+    try:
+        p, fs = _fs_path(spark, path)
+    except Exception:  # no JVM handle (e.g. a remote session): let the reader report a missing path
+        import glob
+        return bool(glob.glob(path.replace("file:", ""))) if "://" not in path else True
     matches = fs.globStatus(p)
     return matches is not None and len(matches) > 0
 
