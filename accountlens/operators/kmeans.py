@@ -11,7 +11,9 @@ scans of the cached points; this solver serves all restarts with every scan:
   depend on partitioning); ``groupBy(restart)`` + ``max_by`` picks the winner;
 * Lloyd: each partition computes nearest centres and per-(restart, cluster)
   partial sums with NumPy on Arrow batches; ``groupBy(restart, cluster)``
-  reduces them to ``restarts x k`` rows that reach the driver;
+  reduces them to ``restarts x k`` rows that reach the driver (when the partial
+  rows, ``partitions x restarts x k``, stay under ``DIRECT_REDUCE_MAX_ROWS`` they
+  are summed on the driver directly, saving a stage per pass);
 * a last pass computes every restart's inertia with its final centres.
 
 Centres travel in the task closure, so the plan (and its generated code)
@@ -41,6 +43,15 @@ def _uniform(h: np.ndarray, restart: int, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+#: Partial rows (partitions x restarts x k) up to which partial results are summed on the driver
+#: instead of through a groupBy stage; beyond it the reduction runs on executors.
+DIRECT_REDUCE_MAX_ROWS = 20_000
+
+
+def _direct(points: DataFrame, rows_per_partition: int) -> bool:
+    return points.rdd.getNumPartitions() * rows_per_partition <= DIRECT_REDUCE_MAX_ROWS
+
+
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     """N x k squared distances."""
     diff = X[:, None, :] - C[None, :, :]
@@ -77,9 +88,15 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
         yield pd.DataFrame(rows, columns=["restart", "key", *cols])
 
     schema = "restart int, key double, " + ", ".join(f"{c} double" for c in cols)
-    chosen = (points.mapInPandas(propose, schema)
-              .groupBy("restart").agg(F.max_by(F.struct(*cols), "key").alias("p"))
-              .collect())
+    proposals = points.mapInPandas(propose, schema)
+    if _direct(points, len(restarts)):
+        best: dict[int, tuple] = {}
+        for row in proposals.collect():
+            r = int(row["restart"])
+            if r not in best or row["key"] > best[r][0]:
+                best[r] = (row["key"], [float(row[c]) for c in cols])
+        return {r: v[1] for r, v in best.items()}
+    chosen = (proposals.groupBy("restart").agg(F.max_by(F.struct(*cols), "key").alias("p")).collect())
     return {int(row["restart"]): [float(row["p"][c]) for c in cols] for row in chosen}
 
 
@@ -109,8 +126,17 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
         yield pd.DataFrame(rows, columns=["restart", "cluster", "n", *[f"s_{c}" for c in cols], "sse"])
 
     schema = "restart int, cluster int, n double, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
-    agg = (points.mapInPandas(partial, schema)
-           .groupBy("restart", "cluster")
+    partials = points.mapInPandas(partial, schema)
+    if _direct(points, sum(len(c) for c in frozen.values())):
+        out: dict[tuple, list] = {}
+        for row in partials.collect():
+            key = (int(row["restart"]), int(row["cluster"]))
+            acc = out.setdefault(key, [0.0, [0.0] * len(cols), 0.0])
+            acc[0] += row["n"]
+            acc[1] = [a + row[f"s_{c}"] for a, c in zip(acc[1], cols)]
+            acc[2] += row["sse"]
+        return {k: (v[0], v[1], v[2]) for k, v in out.items()}
+    agg = (partials.groupBy("restart", "cluster")
            .agg(F.sum("n").alias("n"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in cols], F.sum("sse").alias("sse"))
            .collect())
     return {(int(row["restart"]), int(row["cluster"])): (float(row["n"]), [float(row[f"s_{c}"]) for c in cols],
