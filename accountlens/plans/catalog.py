@@ -905,12 +905,13 @@ def src3(spark, sf):
     return load_file(spark, path)
 
 
-def _loader_employers(spark, sf) -> tuple[DataFrame, str]:
+def _loader_employers(spark, sf, with_interactions: bool = False) -> tuple[DataFrame, str]:
     emp = _emp(spark, sf, with_revenue=False)
     emp = emp.withColumn("revenue_potential", seg.estimate_revenue_potential(emp))
     raw_dir = _scratch(spark, "raw")
     _write_csv(emp, raw_dir + "/employers.csv")
-    _write_csv(_inter(spark, sf), raw_dir + "/interactions.csv")
+    if with_interactions:
+        _write_csv(_inter(spark, sf), raw_dir + "/interactions.csv")
     return emp, raw_dir
 
 
@@ -996,7 +997,7 @@ _AUDIT_SQL = (S.with_base() + "SELECT 'employers.csv' AS filename, 'employers' A
 
 def _audited_loader(spark, sf):
     from accountlens.sources.loaders import DataLoader
-    _, raw_dir = _loader_employers(spark, sf)
+    _, raw_dir = _loader_employers(spark, sf, with_interactions=True)
     loader = DataLoader(spark, raw_dir, salt=FIXED_SALT, processed_at=FIXED_STAMP)
     loader.load_employers("employers.csv")
     loader.load_interactions("interactions.csv")
