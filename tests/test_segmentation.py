@@ -249,3 +249,30 @@ def test_hot_copies_collapse_to_one_weighted_point(spark):
     out = est.fit(df).transform(df).toPandas()
     assert len(out) == 60 and out["segment_name"].notna().all()
     assert out[out.employer_id == "hot"]["segment_name"].nunique() == 1
+
+
+def _numpy_kmeans(X, k, seed, iters=300):
+    """Brute-force reference: k-means++ seeding + Lloyd, in NumPy."""
+    rng = np.random.default_rng(seed)
+    C = [X[rng.integers(len(X))]]
+    for _ in range(1, k):
+        d = np.min(((X[:, None, :] - np.array(C)[None]) ** 2).sum(-1), axis=1)
+        C.append(X[rng.choice(len(X), p=d / d.sum())])
+    C = np.array(C)
+    for _ in range(iters):
+        lab = np.argmin(((X[:, None, :] - C[None]) ** 2).sum(-1), axis=1)
+        new = np.array([X[lab == j].mean(axis=0) if np.any(lab == j) else C[j] for j in range(k)])
+        if np.allclose(new, C):
+            break
+        C = new
+    return float(np.min(((X[:, None, :] - C[None]) ** 2).sum(-1), axis=1).sum())
+
+
+@pytest.mark.parametrize("solver", ["batched", "mllib"])
+def test_kmeans_cost_matches_brute_force(sample_employers, solver):
+    model = seg.RFMSegmenter(asOf=str(AS_OF), solver=solver).fit(sample_employers)   # default 20 restarts
+    out = model.transform(sample_employers).toPandas()
+    X = out[["r_score", "f_score", "m_score"]].to_numpy()
+    cost = float(((X - np.array(model.centres)[out["cluster"].to_numpy()]) ** 2).sum())
+    best = min(_numpy_kmeans(X, 4, s) for s in range(50))
+    assert cost <= best * 1.02
