@@ -71,14 +71,14 @@ def _status_expr(key):
     return F.when(m < 3, F.lit("Active")).when(m == 3, F.lit("Inactive")).otherwise(F.lit("Prospect"))
 
 
-def employers_raw(spark: SparkSession, sf_dir: str, with_revenue: bool = True) -> DataFrame:
-    """Employer master table without contact features."""
+def employers_raw(spark: SparkSession, sf_dir: str, with_revenue: bool = True, numeric_key: bool = False) -> DataFrame:
+    """Employer master table without contact features (``numeric_key``: keep the bigint key)."""
     cust = read_table(spark, sf_dir, "customer")
     geo = (read_table(spark, sf_dir, "nation")
            .join(read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
            .select("n_nationkey", F.col("r_name").alias("region")))
     cols = [
-        F.col("c_custkey").cast("string").alias("employer_id"),
+        (F.col("c_custkey") if numeric_key else F.col("c_custkey").cast("string")).alias("employer_id"),
         F.col("c_name").alias("company_name"),
         _size_expr(F.col("c_acctbal")).alias("company_size"),
         _map_expr(F.col("c_mktsegment"), SECTOR_OF_SEGMENT).alias("sector"),
@@ -107,8 +107,12 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def employers(spark: SparkSession, sf_dir: str, as_of=AS_OF, with_revenue: bool = True) -> DataFrame:
     """Employers enriched with last contact and 12-month frequency (AGG1-2, JOIN1-2, FIL1)."""
     from accountlens.operators.features import contact_features, enrich_employers
-    feats = contact_features(interactions(spark, sf_dir), as_of=as_of)
-    return enrich_employers(employers_raw(spark, sf_dir, with_revenue), feats)
+    # aggregate and join on the bigint key (cheaper to hash than its text), cast once at the end
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("employer_id"), F.to_date("o_orderdate").alias("interaction_date"))
+    feats = contact_features(orders, as_of=as_of)
+    out = enrich_employers(employers_raw(spark, sf_dir, with_revenue, numeric_key=True), feats)
+    return out.withColumn("employer_id", F.col("employer_id").cast("string"))
 
 
 def vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
