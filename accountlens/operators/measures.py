@@ -190,6 +190,38 @@ def rolling_3m(interactions: DataFrame, employers: DataFrame | None = None, by=(
                       safe_divide(F.col("window_interactions"), F.col("active_days")).alias("rolling_3m_interactions"))
 
 
+def rolling_3m_daily(interactions: DataFrame, employers: DataFrame | None = None, by=(),
+                     months: int = C.ROLLING_WINDOW_MONTHS) -> DataFrame:
+    """M10 at day grain: for every calendar day d, the mean daily count over the days with
+    interactions in ``(add_months(d, -months), d]``.
+
+    Running sums of counts and of active days over the dense (group, day) calendar; the value at
+    the window start comes from an equi-join of that calendar with itself on the computed key
+    ``add_months(date, -months)`` (no range join). Windows run over (group, day) aggregates only.
+    """
+    by = _by(by)
+    daily = daily_fact(interactions, employers, by)
+    lo_hi = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    if lo_hi["lo"] is None:
+        return daily
+    days = F.explode(F.sequence(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"]), F.expr("INTERVAL 1 DAY")))
+    groups = daily.select(*by).distinct() if by else None
+    grid = (groups.select(*by, days.alias("date")) if by else daily.sparkSession.range(1).select(days.alias("date")))
+    dense = (grid.join(daily, on=[*by, "date"], how="left")
+             .withColumn("interactions", F.coalesce("interactions", F.lit(0)).cast("long")))
+    w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("date").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    run = (dense.withColumn("cum_n", F.sum("interactions").over(w))
+           .withColumn("cum_days", F.sum((F.col("interactions") > 0).cast("long")).over(w)))
+    start = run.select(*by, F.col("date").alias("start_date"), F.col("cum_n").alias("start_n"),
+                       F.col("cum_days").alias("start_days"))
+    joined = (run.withColumn("start_date", F.add_months("date", -months))
+              .join(start, on=[*by, "start_date"], how="left"))
+    n = F.col("cum_n") - F.coalesce("start_n", F.lit(0))
+    d = F.col("cum_days") - F.coalesce("start_days", F.lit(0))
+    return joined.select(*by, "date", "interactions", safe_divide(n, d).alias("rolling_3m_interactions"))
+
+
 def _attach(interactions: DataFrame, employers: DataFrame | None, by) -> DataFrame:
     if not by:
         return interactions

@@ -721,6 +721,17 @@ def m10(spark, sf):
     return ms.rolling_3m(_inter(spark, sf))
 
 
+@q("m10_rolling_3m_daily", S.with_base(
+    "b AS (SELECT CAST(min(interaction_date) AS TIMESTAMP) AS lo, CAST(max(interaction_date) AS TIMESTAMP) AS hi FROM interactions)",
+    "days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b)",
+    "daily AS (SELECT interaction_date AS d, count(*) AS n FROM interactions GROUP BY 1)")
+   + "SELECT days.date, CAST(coalesce((SELECT n FROM daily WHERE d = days.date), 0) AS BIGINT) AS interactions, "
+   "(SELECT CAST(sum(n) AS DOUBLE) / CAST(count(*) AS DOUBLE) FROM daily WHERE d > days.date - INTERVAL 3 MONTH "
+   "AND d <= days.date) AS rolling_3m_interactions FROM days")
+def m10_daily(spark, sf):
+    return ms.rolling_3m_daily(_inter(spark, sf))
+
+
 @q("m11_avg_time_to_fill", S.with_base() + "SELECT status, avg(date_diff('day', open_date, filled_date)) AS avg_time_to_fill "
    "FROM vacancies GROUP BY status")
 def m11(spark, sf):

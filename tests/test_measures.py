@@ -124,3 +124,14 @@ def test_previous_month_by_group(interactions, employers):
     c = previous_month(monthly_counts(interactions.join(employers, "employer_id"), by=["sector"]), by=["sector"])
     rows = {(r["sector"], r["month_start"]): r["previous_month"] for r in c.collect()}
     assert rows[("tech", D(2024, 3, 1))] == 2 and rows[("retail", D(2023, 4, 1))] is None
+
+
+def test_m10_daily_grain(interactions, employers):
+    rows = {r["date"]: r["rolling_3m_interactions"] for r in ms.rolling_3m_daily(interactions).collect()}
+    # day 2024-04-30: window (2024-01-30, 2024-04-30] -> 01-31 (1), 02-29 (2), 04-30 (1) over 3 active days
+    assert rows[D(2024, 4, 30)] == pytest.approx(4 / 3)
+    assert rows[D(2024, 1, 30)] is None or rows[D(2024, 1, 30)] == pytest.approx(1.0)
+    by = {(r["sector"], r["date"]): r["rolling_3m_interactions"]
+          for r in ms.rolling_3m_daily(interactions, employers, by=["sector"]).collect()}
+    assert by[("tech", D(2024, 4, 30))] == pytest.approx(4 / 3)
+    assert by[("retail", D(2024, 5, 1))] == pytest.approx(1.0)
