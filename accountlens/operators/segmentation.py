@@ -3,14 +3,16 @@
 Plan shape
 ----------
 fit:
-  1. one aggregation over the feature table (min/max of the three RFM inputs,
-     row and null counts) -> 1 row to the driver;
-  2. the complete rows are hash-partitioned on the id into a partition count
-     derived from the row count, sorted within partitions and checkpointed to
-     the shared checkpoint folder (stable placement => repeatable K-Means, and
-     lost executors recompute from the checkpoint, not from the sources);
-  3. MLlib K-Means (k-means||) for ``n_init`` seeds, optionally in parallel
-     threads; lowest training cost wins;
+  1. the three RFM inputs are derived once (checkpoint); one aggregation gives
+     their min / max / variance and the row and null counts -> 1 row to the driver;
+  2. the complete rows' score points are collapsed into (point, weight) by a
+     partial count, hash-partitioned on the point into a count derived from
+     the row count, sorted and checkpointed to the shared checkpoint folder
+     (placement independent of the input => repeatable K-Means; lost executors
+     recompute from the checkpoint, not from the sources);
+  3. K-Means with ``nInit`` restarts: by default all restarts advance in each
+     data pass (``kmeans.fit_batched``), or one MLlib k-means|| fit per restart
+     (``solver='mllib'``); the lowest cost wins;
   4. one aggregation of mean rfm_score per cluster -> k rows to the driver.
 transform:
   a single narrow projection: scaling, nearest-centre assignment, segment
@@ -205,7 +207,6 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
     nInit = Param(Params._dummy(), "nInit", "K-Means restarts; the lowest cost wins",
                   typeConverter=TypeConverters.toInt)
     asOf = Param(Params._dummy(), "asOf", "reference date (ISO) for recency", typeConverter=TypeConverters.toString)
-    idCol = Param(Params._dummy(), "idCol", "row key used for stable placement", typeConverter=TypeConverters.toString)
     lastContactCol = Param(Params._dummy(), "lastContactCol", "last contact column",
                            typeConverter=TypeConverters.toString)
     nullPolicy = Param(Params._dummy(), "nullPolicy", "'error' or 'keep' for rows with a null RFM input",
@@ -220,7 +221,7 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
     def __init__(self):
         super().__init__()
         self._setDefault(nSegments=C.KMEANS_N_SEGMENTS, nInit=C.KMEANS_N_INIT, seed=C.KMEANS_SEED,
-                         maxIter=C.KMEANS_MAX_ITER, tol=1e-4, idCol="employer_id",
+                         maxIter=C.KMEANS_MAX_ITER, tol=1e-4,
                          lastContactCol="last_contact_date", nullPolicy="error",
                          rowsPerPartition=1_000_000, parallelism=8, solver="batched")
 
@@ -230,7 +231,7 @@ class RFMSegmenter(Estimator, _SegmenterParams):
 
     @keyword_only
     def __init__(self, *, asOf=None, nSegments=None, nInit=None, seed=None, maxIter=None, tol=None,
-                 idCol=None, lastContactCol=None, nullPolicy=None, rowsPerPartition=None, parallelism=None,
+                 lastContactCol=None, nullPolicy=None, rowsPerPartition=None, parallelism=None,
                  solver=None):
         super().__init__()
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
@@ -248,12 +249,10 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         policy = self.getOrDefault("nullPolicy")
         if policy not in ("error", "keep"):
             raise ValueError("nullPolicy must be 'error' or 'keep'")
-        id_col = self.getOrDefault("idCol")
 
         feats = compute_rfm(dataset, as_of, self.getOrDefault("lastContactCol"))
         # the fit reads its inputs several times (stats, K-Means, ranking): derive them once
-        keep = [id_col] if id_col in feats.columns else []
-        feats = materialize(feats.select(*keep, *RFM_INPUTS))
+        feats = materialize(feats.select(*RFM_INPUTS))
         complete = _complete(RFM_INPUTS)
         stats_row = feats.agg(
             *[F.min(nan_to_null(F.col(c))).alias(f"min_{c}") for c in RFM_INPUTS],
