@@ -50,15 +50,20 @@ def month_dimension(fact: DataFrame, date_col: str = "interaction_date") -> Data
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
 
 
-def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=()) -> DataFrame:
+def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=(), dense: bool = True) -> DataFrame:
     """Interactions per (group, month), densified over the global month range: empty months get 0.
 
     The grid is generated per group with ``sequence`` over literal bounds (no join
-    with a month table); counts are pre-aggregated before the join back.
+    with a month table); counts are pre-aggregated before the join back. With a
+    high-cardinality grouping (e.g. per employer) ``dense=False`` keeps only the
+    months that have facts: every measure built on it gives the same values for
+    those rows (``previous_month`` checks month adjacency itself).
     """
     by = list(by)
     counts = (fact.groupBy(*by, F.trunc(F.col(date_col).cast("date"), "month").alias("month_start"))
               .agg(F.count(F.lit(1)).cast("long").alias("interactions")))
+    if not dense:
+        return counts
     # bounds and groups come from the (small) monthly aggregate, not from the fact
     if not by:
         grid = month_dimension(counts, "month_start")

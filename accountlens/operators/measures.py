@@ -143,24 +143,26 @@ def segment_share(segmented: DataFrame, by=(), segment_col: str = "segment_name"
     return counts.withColumn("segment_share", safe_divide(F.col("employers"), F.sum("employers").over(w), 0))
 
 
-def interactions_ytd(interactions: DataFrame, employers: DataFrame | None = None, by=()) -> DataFrame:
+def interactions_ytd(interactions: DataFrame, employers: DataFrame | None = None, by=(),
+                     dense: bool = True) -> DataFrame:
     """M8: per dense month, interactions from 1 January to the end of that month."""
     by = _by(by)
     fact = _attach(interactions, employers, by)
-    counts = monthly_counts(fact, "interaction_date", by)
+    counts = monthly_counts(fact, "interaction_date", by, dense)
     w = (Window.partitionBy(*by, F.year("month_start")).orderBy("month_start")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return counts.withColumn("interactions_ytd", F.sum("interactions").over(w).cast("long"))
 
 
-def mom_growth(interactions: DataFrame, employers: DataFrame | None = None, by=(), basis: str = "ytd") -> DataFrame:
+def mom_growth(interactions: DataFrame, employers: DataFrame | None = None, by=(), basis: str = "ytd",
+               dense: bool = True) -> DataFrame:
     """M9: (current - previous month) / previous month; null when the previous month is 0.
 
     ``basis='ytd'`` follows the documented measure, whose "current" value is the
     YTD count; ``basis='month'`` compares plain monthly counts.
     """
     by = _by(by)
-    ytd = interactions_ytd(interactions, employers, by)
+    ytd = interactions_ytd(interactions, employers, by, dense)
     with_prev = previous_month(ytd, "interactions", by, "previous_month")
     cur = F.col("interactions_ytd") if basis == "ytd" else F.col("interactions")
     prev = F.col("previous_month")

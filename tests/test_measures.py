@@ -135,3 +135,12 @@ def test_m10_daily_grain(interactions, employers):
           for r in ms.rolling_3m_daily(interactions, employers, by=["sector"]).collect()}
     assert by[("tech", D(2024, 4, 30))] == pytest.approx(4 / 3)
     assert by[("retail", D(2024, 5, 1))] == pytest.approx(1.0)
+
+
+def test_sparse_months_same_values(interactions):
+    dense = {r["month_start"]: r for r in ms.mom_growth(interactions).collect()}
+    sparse = {r["month_start"]: r for r in ms.mom_growth(interactions, dense=False).collect()}
+    assert set(sparse) < set(dense)
+    for m, r in sparse.items():
+        assert r["interactions_ytd"] == dense[m]["interactions_ytd"]
+        assert r["mom_growth"] == dense[m]["mom_growth"]
