@@ -2,7 +2,7 @@
 
 The documented configuration runs 20 restarts (k-means++ seeding + Lloyd,
 variance-relative tolerance) and keeps the lowest inertia. Fitting restarts
-one after another (MLlib, the default solver) costs ``restarts x iterations``
+one after another (``solver='mllib'``) costs ``restarts x iterations``
 scans of the cached points; this solver serves all restarts with every scan:
 
 * seeding: ``k`` passes; in pass ``s`` each partition proposes, per restart, the
