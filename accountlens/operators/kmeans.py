@@ -48,8 +48,8 @@ def _uniform(h: np.ndarray, restart: int, step: int) -> np.ndarray:
 DIRECT_REDUCE_MAX_ROWS = 20_000
 
 
-def _direct(points: DataFrame, rows_per_partition: int) -> bool:
-    return points.rdd.getNumPartitions() * rows_per_partition <= DIRECT_REDUCE_MAX_ROWS
+def _direct(n_partitions: int, rows_per_partition: int) -> bool:
+    return n_partitions * rows_per_partition <= DIRECT_REDUCE_MAX_ROWS
 
 
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -59,7 +59,7 @@ def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 
 
 def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int,
-               weight_col: str | None = None) -> dict:
+               weight_col: str | None = None, n_partitions: int | None = None) -> dict:
     """One D^2-sampling pass: a new centre for every restart in ``restarts`` (probability ~ weight x D^2)."""
     d = len(cols)
     frozen = {r: (np.asarray(centres[r]) if centres.get(r) else np.zeros((0, d))) for r in restarts}
@@ -89,7 +89,7 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
 
     schema = "restart int, key double, " + ", ".join(f"{c} double" for c in cols)
     proposals = points.mapInPandas(propose, schema)
-    if _direct(points, len(restarts)):
+    if n_partitions is not None and _direct(n_partitions, len(restarts)):
         best: dict[int, tuple] = {}
         for row in proposals.collect():
             r = int(row["restart"])
@@ -100,7 +100,8 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
     return {int(row["restart"]): [float(row["p"][c]) for c in cols] for row in chosen}
 
 
-def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None) -> dict:
+def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None,
+                n_partitions: int | None = None) -> dict:
     """Per (restart, cluster): weight, weighted coordinate sums and squared-distance sum w.r.t. ``centres``."""
     frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
 
@@ -127,7 +128,7 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
 
     schema = "restart int, cluster int, n double, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
     partials = points.mapInPandas(partial, schema)
-    if _direct(points, sum(len(c) for c in frozen.values())):
+    if n_partitions is not None and _direct(n_partitions, sum(len(c) for c in frozen.values())):
         out: dict[tuple, list] = {}
         for row in partials.collect():
             key = (int(row["restart"]), int(row["cluster"]))
@@ -144,11 +145,13 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
 
 
 def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_iter: int,
-                tol_abs: float, weight_col: str | None = None) -> tuple[list[list[float]], float]:
+                tol_abs: float, weight_col: str | None = None,
+                n_partitions: int | None = None) -> tuple[list[list[float]], float]:
     """Fit ``n_init`` restarts together; returns the centres and inertia of the best one.
 
     ``points`` holds ``cols`` (complete rows only), ``__h`` (a 64-bit hash of the point) and
-    optionally a weight column (a point of weight w counts as w identical rows).
+    optionally a weight column (a point of weight w counts as w identical rows). ``n_partitions``
+    (the partition count of ``points``) enables the driver-side reduction of small partial results.
     A restart converges when its summed squared centre shift is <= ``tol_abs``;
     empty clusters keep their centre. Ties in inertia go to the lowest restart.
     """
@@ -156,7 +159,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     centres: dict[int, list[list[float]]] = {r: [] for r in restarts}
     open_r = list(restarts)
     for step in range(k):
-        picked = _seed_step(points, cols, centres, open_r, step, weight_col)
+        picked = _seed_step(points, cols, centres, open_r, step, weight_col, n_partitions)
         open_r = [r for r in open_r if r in picked]   # no positive-distance row left: fewer centres
         for r in open_r:
             centres[r] = centres[r] + [picked[r]]
@@ -166,7 +169,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     for _ in range(max_iter):
         if not active:
             break
-        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
+        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col, n_partitions)
         for r in sorted(active):
             old = centres[r]
             new = []
@@ -178,7 +181,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
             if shift <= tol_abs:
                 active.discard(r)
 
-    final = _lloyd_pass(points, cols, centres, weight_col)
+    final = _lloyd_pass(points, cols, centres, weight_col, n_partitions)
     inertia = {r: sum(v[2] for (rr, _), v in final.items() if rr == r) for r in centres}
     best = min(centres, key=lambda r: (inertia[r], r))
     return centres[best], inertia[best]

@@ -287,6 +287,9 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         self._copyValues(model)
         return model
 
+    def _n_parts(self, n_fit: int) -> int:
+        return max(1, math.ceil(n_fit / self.getOrDefault("rowsPerPartition")))
+
     def _weighted_points(self, scored: DataFrame, n_fit: int) -> DataFrame:
         """Identical score points collapsed into (point, weight): exact for K-Means, and copies of one
         row (however many) become a single weighted point after a map-side partial count.
@@ -294,7 +297,7 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         Placement depends on the point values only: hash-partitioned into a count derived from the
         row count and sorted, so fits are repeatable whatever the upstream partitioning.
         """
-        n_parts = max(1, math.ceil(n_fit / self.getOrDefault("rowsPerPartition")))
+        n_parts = self._n_parts(n_fit)
         pts = scored.groupBy(*SCORE_COLS).agg(F.count(F.lit(1)).cast("double").alias("weight"))
         return pts.repartition(n_parts, *SCORE_COLS).sortWithinPartitions(*SCORE_COLS)
 
@@ -305,7 +308,8 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         pts = materialize(pts).cache()
         try:
             centres, _ = fit_batched(pts, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
-                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight")
+                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight",
+                                     n_partitions=self._n_parts(n_fit))
         finally:
             pts.unpersist()
         return centres
