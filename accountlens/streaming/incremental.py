@@ -13,7 +13,6 @@ files, the dedupe makes a re-delivered batch a no-op.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from accountlens.session import checkpoint_dir
 

@@ -4,7 +4,6 @@ import hashlib
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from accountlens.operators.contracts import ContractError
 from accountlens.sources import files
