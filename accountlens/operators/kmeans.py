@@ -5,10 +5,12 @@ variance-relative tolerance) and keeps the lowest inertia. Fitting restarts
 one after another (``solver='mllib'``) costs ``restarts x iterations``
 scans of the cached points; this solver serves all restarts with every scan:
 
-* seeding: ``k`` passes; in pass ``s`` each partition proposes, per restart, the
-  point with the largest Efraimidis-Spirakis key ``log(u) / (w D^2)`` (weight x
-  D^2 sampling; ``u`` is derived from a hash of the point, so draws do not
-  depend on partitioning); ``groupBy(restart)`` + ``max_by`` picks the winner;
+* seeding (greedy k-means++): for each new centre one pass draws ``2 + ln k``
+  candidates per restart - each partition proposes the point with the largest
+  Efraimidis-Spirakis key ``log(u) / (w D^2)`` (weight x D^2 sampling; ``u`` is
+  derived from a hash of the point, so draws do not depend on partitioning) and
+  ``max_by`` picks the winner - and a second pass scores each candidate's
+  potential; the lowest potential is kept;
 * Lloyd: each partition computes nearest centres and per-(restart, cluster)
   partial sums with NumPy on Arrow batches; ``groupBy(restart, cluster)``
   reduces them to ``restarts x k`` rows that reach the driver (when the partial
@@ -59,14 +61,16 @@ def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 
 
 def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int,
-               weight_col: str | None = None, n_partitions: int | None = None) -> dict:
-    """One D^2-sampling pass: a new centre for every restart in ``restarts`` (probability ~ weight x D^2)."""
+               weight_col: str | None = None, n_partitions: int | None = None, trials: int = 1) -> dict:
+    """One D^2-sampling pass: ``trials`` candidate centres for every restart in ``restarts``
+    (each drawn with probability ~ weight x D^2); returns {(restart, trial): point}."""
     d = len(cols)
     frozen = {r: (np.asarray(centres[r]) if centres.get(r) else np.zeros((0, d))) for r in restarts}
+    slots = [(r, t) for r in restarts for t in range(trials)]
 
     def propose(batches):
-        best_key = {r: -np.inf for r in restarts}
-        best_pt = {r: None for r in restarts}
+        best_key = {sl: -np.inf for sl in slots}
+        best_pt = {sl: None for sl in slots}
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -74,30 +78,60 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
             h = pdf["__h"].to_numpy().astype(np.int64).view(np.uint64)
             w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
             for r in restarts:
-                u = _uniform(h, r, step)
                 C = frozen[r]
-                if len(C) == 0:
-                    key = np.log(u) / w
-                else:
-                    p = _sqdist(X, C).min(axis=1) * w
+                p = w if len(C) == 0 else _sqdist(X, C).min(axis=1) * w
+                for t in range(trials):
+                    u = _uniform(h, r * 64 + t, step)
                     key = np.where(p > 0, np.log(u) / np.where(p > 0, p, 1.0), -np.inf)
-                i = int(np.argmax(key))
-                if key[i] > best_key[r]:
-                    best_key[r], best_pt[r] = float(key[i]), X[i]
-        rows = [(r, best_key[r], *map(float, best_pt[r])) for r in restarts if best_pt[r] is not None]
-        yield pd.DataFrame(rows, columns=["restart", "key", *cols])
-
-    schema = "restart int, key double, " + ", ".join(f"{c} double" for c in cols)
+                    i = int(np.argmax(key))
+                    if key[i] > best_key[(r, t)]:
+                        best_key[(r, t)], best_pt[(r, t)] = float(key[i]), X[i]
+        rows = [(r, t, best_key[(r, t)], *map(float, best_pt[(r, t)])) for r, t in slots
+                if best_pt[(r, t)] is not None]
+        yield pd.DataFrame(rows, columns=["restart", "trial", "key", *cols])
+
+    schema = "restart int, trial int, key double, " + ", ".join(f"{c} double" for c in cols)
     proposals = points.mapInPandas(propose, schema)
-    if n_partitions is not None and _direct(n_partitions, len(restarts)):
-        best: dict[int, tuple] = {}
+    if n_partitions is not None and _direct(n_partitions, len(slots)):
+        best: dict[tuple, tuple] = {}
         for row in proposals.collect():
-            r = int(row["restart"])
-            if r not in best or row["key"] > best[r][0]:
-                best[r] = (row["key"], [float(row[c]) for c in cols])
-        return {r: v[1] for r, v in best.items()}
-    chosen = (proposals.groupBy("restart").agg(F.max_by(F.struct(*cols), "key").alias("p")).collect())
-    return {int(row["restart"]): [float(row["p"][c]) for c in cols] for row in chosen}
+            sl = (int(row["restart"]), int(row["trial"]))
+            if sl not in best or row["key"] > best[sl][0]:
+                best[sl] = (row["key"], [float(row[c]) for c in cols])
+        return {sl: v[1] for sl, v in best.items()}
+    chosen = (proposals.groupBy("restart", "trial").agg(F.max_by(F.struct(*cols), "key").alias("p")).collect())
+    return {(int(row["restart"]), int(row["trial"])): [float(row["p"][c]) for c in cols] for row in chosen}
+
+
+def _potentials(points: DataFrame, cols: list[str], centres: dict, candidates: dict,
+                weight_col: str | None = None, n_partitions: int | None = None) -> dict:
+    """Greedy seeding: the potential sum(w x min(D^2, |x - candidate|^2)) of every (restart, trial) candidate."""
+    d = len(cols)
+    frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
+    cands = {sl: np.asarray(p, dtype=np.float64) for sl, p in candidates.items()}
+
+    def partial(batches):
+        acc = {sl: 0.0 for sl in cands}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf[cols].to_numpy(dtype=np.float64)
+            w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
+            cur = {r: _sqdist(X, C).min(axis=1) for r, C in frozen.items()}
+            for (r, t), c in cands.items():
+                dc = ((X - c.reshape(1, d)) ** 2).sum(axis=1)
+                acc[(r, t)] += float((np.minimum(cur[r], dc) * w).sum())
+        yield pd.DataFrame([(r, t, v) for (r, t), v in acc.items()], columns=["restart", "trial", "pot"])
+
+    parts = points.mapInPandas(partial, "restart int, trial int, pot double")
+    if n_partitions is not None and _direct(n_partitions, len(cands)):
+        out: dict[tuple, float] = {}
+        for row in parts.collect():
+            sl = (int(row["restart"]), int(row["trial"]))
+            out[sl] = out.get(sl, 0.0) + row["pot"]
+        return out
+    rows = parts.groupBy("restart", "trial").agg(F.sum("pot").alias("pot")).collect()
+    return {(int(row["restart"]), int(row["trial"])): float(row["pot"]) for row in rows}
 
 
 def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None,
@@ -158,11 +192,21 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     restarts = list(range(n_init))
     centres: dict[int, list[list[float]]] = {r: [] for r in restarts}
     open_r = list(restarts)
+    trials = 2 + int(np.log(k))   # greedy k-means++: several draws per step, the lowest potential wins
     for step in range(k):
-        picked = _seed_step(points, cols, centres, open_r, step, weight_col, n_partitions)
-        open_r = [r for r in open_r if r in picked]   # no positive-distance row left: fewer centres
+        n_t = 1 if step == 0 else trials
+        cands = _seed_step(points, cols, centres, open_r, step, weight_col, n_partitions, n_t)
+        if n_t > 1 and cands:
+            pots = _potentials(points, cols, {r: centres[r] for r in open_r}, cands, weight_col, n_partitions)
+        nxt = []
         for r in open_r:
-            centres[r] = centres[r] + [picked[r]]
+            mine = [t for t in range(n_t) if (r, t) in cands]
+            if not mine:            # no positive-distance row left: this restart keeps fewer centres
+                continue
+            best_t = mine[0] if n_t == 1 else min(mine, key=lambda t: (pots[(r, t)], t))
+            centres[r] = centres[r] + [cands[(r, best_t)]]
+            nxt.append(r)
+        open_r = nxt
     centres = {r: c for r, c in centres.items() if c}
 
     active = set(centres)
