@@ -9,9 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every session of this library should run with.
 DEFAULT_CONF = {
+    # runtime re-planning: coalesce small shuffle partitions, split skewed join partitions
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # shuffle partitions sized by data, not by count: at 100 TB set spark.sql.shuffle.partitions high
+    # (tens of thousands) and let AQE coalesce towards this target
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # the only broadcasts are the ones Spark picks below this measured size (static and at run time)
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
