@@ -127,3 +127,22 @@ def test_pipeline_stops_on_bad_employers(spark, tmpdir_path):
     df.to_csv(os.path.join(raw, "employers.csv"), index=False)
     with pytest.raises(dq.DataQualityError):
         run_pipeline(spark, raw, out, dt.date(2025, 6, 1), salt="fixed", segmenter_params={"nInit": 2})
+
+
+def test_pipeline_flags(spark, tmpdir_path):
+    raw, out = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "processed")
+    _write_raw(raw)
+    inter = pd.read_csv(os.path.join(raw, "interactions.csv"))
+    inter.loc[0, "interaction_type"] = None                   # contract passes, quality check fails (null invalid)
+    inter.to_csv(os.path.join(raw, "interactions.csv"), index=False)
+    params = {"nInit": 2}
+    res = run_pipeline(spark, raw, out, dt.date(2025, 6, 1), salt="fixed", segmenter_params=params, drop_pii=True,
+                       output_format="csv", run_date=dt.date(2025, 6, 2))
+    assert res["reports"]["interactions"].passed is False            # warns, continues
+    assert "company_name" not in spark.read.option("header", True).csv(res["segmented"]).columns
+    with pytest.raises(dq.DataQualityError):
+        run_pipeline(spark, raw, out, dt.date(2025, 6, 1), salt="fixed", segmenter_params=params,
+                     strict_interactions=True)
+    skipped = run_pipeline(spark, raw, out, dt.date(2025, 6, 1), salt="fixed", segmenter_params=params,
+                           skip_validation=True)
+    assert skipped["reports"] == {}
