@@ -276,3 +276,13 @@ def test_kmeans_cost_matches_brute_force(sample_employers, solver):
     cost = float(((X - np.array(model.centres)[out["cluster"].to_numpy()]) ** 2).sum())
     best = min(_numpy_kmeans(X, 4, s) for s in range(50))
     assert cost <= best * 1.02
+
+
+def test_batched_reduction_paths_agree(sample_employers, monkeypatch):
+    """The executor-side groupBy reduction (used at scale) and the driver-side shortcut give the same fit."""
+    from accountlens.operators import kmeans
+    direct = seg.RFMSegmenter(asOf=str(AS_OF), nInit=5).fit(sample_employers)
+    monkeypatch.setattr(kmeans, "DIRECT_REDUCE_MAX_ROWS", 0)
+    shuffled = seg.RFMSegmenter(asOf=str(AS_OF), nInit=5).fit(sample_employers)
+    assert np.allclose(np.array(direct.centres), np.array(shuffled.centres), atol=1e-12)
+    assert direct.rank_map == shuffled.rank_map
