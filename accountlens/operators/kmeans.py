@@ -24,11 +24,18 @@ stays the same across iterations. Only centre tables reach the driver.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# the per-partition functions run in Python workers: ship this module's code with them (by value), so the
+# workers need only NumPy and pandas, not this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)

@@ -286,3 +286,23 @@ def test_batched_reduction_paths_agree(sample_employers, monkeypatch):
     shuffled = seg.RFMSegmenter(asOf=str(AS_OF), nInit=5).fit(sample_employers)
     assert np.allclose(np.array(direct.centres), np.array(shuffled.centres), atol=1e-12)
     assert direct.rank_map == shuffled.rank_map
+
+
+def test_fit_from_another_working_directory(tmp_path):
+    """Python workers do not need the package on their path (the solver's code is shipped by value)."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "spark.sparkContext.setCheckpointDir(%r)\n"
+        "from accountlens.operators.segmentation import fit_transform\n"
+        "df = spark.createDataFrame([(f'e{i}', f'2025-0{1 + i %% 5}-1{i %% 9}', i %% 7, 100.0 * i) for i in range(30)],\n"
+        "                           ['employer_id', 'last_contact_date', 'frequency_12m', 'revenue_potential'])\n"
+        "print('ROWS', fit_transform(df, '2025-06-01', nInit=2).count())\n"
+    ) % (repo, str(tmp_path / "ckpt"))
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True, timeout=600)
+    assert "ROWS 30" in out.stdout, out.stderr[-2000:]
