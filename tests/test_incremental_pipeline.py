@@ -146,3 +146,13 @@ def test_pipeline_flags(spark, tmpdir_path):
     skipped = run_pipeline(spark, raw, out, dt.date(2025, 6, 1), salt="fixed", segmenter_params=params,
                            skip_validation=True)
     assert skipped["reports"] == {}
+
+
+def test_stream_csv_source(spark, tmpdir_path):
+    src, target = os.path.join(tmpdir_path, "csv_in"), os.path.join(tmpdir_path, "fact_csv")
+    batch(spark, [1, 2, 3]).write.mode("append").option("header", True).csv(src)
+    stream_ingest(spark, src, SCHEMA, target, os.path.join(tmpdir_path, "ckpt_csv"), fmt="csv")
+    batch(spark, [3, 4]).write.mode("append").option("header", True).csv(src)
+    stream_ingest(spark, src, SCHEMA, target, os.path.join(tmpdir_path, "ckpt_csv"), fmt="csv")
+    ids = sorted(r[0] for r in spark.read.parquet(target).select("interaction_id").collect())
+    assert ids == ["I1", "I2", "I3", "I4"]
