@@ -573,7 +573,7 @@ def dq11(spark, sf):
     return dq.report_summary(_both_reports(spark, sf))
 
 
-@q("dq12_pipeline_gate", f"WITH {_BOTH_REPORTS}, summary AS ({_SUMMARY_SQL}) SELECT dataset_name, passed, "
+@q("dq12_quality_gate", f"WITH {_BOTH_REPORTS}, summary AS ({_SUMMARY_SQL}) SELECT dataset_name, passed, "
    "CASE WHEN passed THEN 'continue' WHEN dataset_name = 'Employers' THEN 'stop' ELSE 'warn' END AS action FROM summary")
 def dq12(spark, sf):
     s = dq.report_summary(_both_reports(spark, sf))

@@ -10,7 +10,7 @@ import pytest
 from accountlens.operators import quality as dq
 from accountlens.operators import segmentation as seg
 from accountlens.operators.profiles import segment_profile_report, segment_profiles
-from accountlens.plans.pipeline import run_pipeline
+from accountlens.plans.batch import run_pipeline
 from accountlens.streaming.incremental import append_new, new_rows, stream_ingest
 
 SCHEMA = "interaction_id string, employer_id string, interaction_date date"
