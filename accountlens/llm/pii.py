@@ -7,7 +7,7 @@ so the chain breaks there. Chain edges join neighbouring nodes, skip edges join
 distant, of the same key (last 7 digits, or letters and digits alone), which makes them linear in the nodes. Words under a
 pattern's match are observed; loopy sum-product passing gives the others their label probabilities. A word gains a
 span if a label other than ``other`` has at least half of the probability and a chain of skip edges leads to an
-observed word of that label. So a text without a pattern match never gains one.
+observed word of that label; other labels are ruled out. So a text without a pattern match never gains one.
 
 Weights are fitted by pseudo-likelihood on the words of a bounded sample of documents, labelled by the patterns.
 """
@@ -32,6 +32,8 @@ LABELS = len(KINDS) + 1  # 0: other
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 20_000
 STEPS, RATE, DECAY = 300, 0.5, 1e-3
+#: What mentions of one key gain by agreeing, before the sample says more or less.
+AGREE = 3.0
 ROUNDS, DAMPING, TOLERANCE = 30, 0.3, 1e-4
 
 WHITE = " \t\n\x0b\f\r"
@@ -158,15 +160,18 @@ class Field(NamedTuple):
 
 
 def fit(texts: list[str]) -> Field:
-    """Pseudo-likelihood weights by gradient ascent; the labels are the patterns' own. No text: weights of 0."""
+    """Pseudo-likelihood weights by gradient ascent; the labels are the patterns' own. A word without a match that
+    repeats a matched one has no known label and teaches nothing. Without texts the prior is left."""
     graphs = [graph(t, base_spans(t)) for t in texts]
     graphs = [g for g in graphs if len(g.spans)]
-    unary, chain, skip = np.zeros((N_FEATURES, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS))
+    unary, chain, skip = np.zeros((N_FEATURES, LABELS)), np.zeros((LABELS, LABELS)), AGREE * np.eye(LABELS)
     if not graphs:
         return Field(unary, chain, skip)
     shifts = np.cumsum([0, *(len(g.spans) for g in graphs)])
     x, y = np.concatenate([g.features for g in graphs]), np.concatenate([g.observed for g in graphs])
     one = np.eye(LABELS)[y]
+    unknown = [i + s for g, s in zip(graphs, shifts) for i in _linked_labels(g)]
+    one[unknown] = 0
     edges = [np.concatenate([e + s for e, s in zip((g[k] for g in graphs), shifts)]) for k in (3, 4)]
     left, right, near = (np.zeros((len(y), LABELS)) for _ in range(3))
     left[edges[0][:, 1]] = one[edges[0][:, 0]]
@@ -178,16 +183,20 @@ def fit(texts: list[str]) -> Field:
         score -= score.max(1, keepdims=True)
         p = np.exp(score)
         error = (one - p / p.sum(1, keepdims=True)) / np.sqrt(len(y))
+        error[unknown] = 0
         step = near.T @ error
         unary += RATE * (x.T @ error / np.sqrt(len(y)) - DECAY * unary)
         chain += RATE * ((left.T @ error + error.T @ right) / np.sqrt(len(y)) - DECAY * chain)
-        skip += RATE * ((step + step.T) / np.sqrt(len(y)) - DECAY * skip)
+        skip += RATE * ((step + step.T) / np.sqrt(len(y)) - DECAY * (skip - AGREE * np.eye(LABELS)))
     return Field(unary, chain, skip)
 
 
-def marginals(g: Graph, field: Field) -> np.ndarray:
-    """Label probabilities of every node by damped loopy sum-product; observed nodes are fixed."""
+def marginals(g: Graph, field: Field, allowed: np.ndarray | None = None) -> np.ndarray:
+    """Label probabilities of every node by damped loopy sum-product; observed nodes are fixed, and others have only
+    the allowed labels (nodes x labels, boolean) if given."""
     own = g.features @ field.unary
+    if allowed is not None:
+        own[~allowed] = -1e9
     seen = g.observed > 0
     own[seen] = -1e9
     own[seen, g.observed[seen]] = 0.0
@@ -235,7 +244,11 @@ def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     linked = _linked_labels(g) if len(g.skip) else {}
     if not linked:
         return []
-    p, found = marginals(g, field), []
+    allowed = np.zeros((len(g.spans), LABELS), bool)
+    allowed[:, 0] = True
+    for i, labels in linked.items():
+        allowed[i, list(labels)] = True
+    p, found = marginals(g, field, allowed), []
     for i, labels in linked.items():
         y = int(p[i].argmax())
         if y in labels and p[i, y] >= 0.5:

@@ -36,6 +36,8 @@ UNIT = 32
 TRAIN_ROWS = 1500
 TRAIN_CHARS = 20_000
 LANDMARKS, ROUNDS, COST = 160, 4, 4.0
+#: Texts of label 1 that must hold a string for it to be a first witness.
+SUPPORT = 3
 THRESHOLD = 0.7
 #: Remembered word scores of a Python worker, and words scored at once.
 MEMO_WORDS = 300_000
@@ -170,12 +172,17 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     n = [len(label) - label.sum(), label.sum()]
     odds = np.array([np.log((seen[1][w] + 0.1) / (n[1] + 1)) - np.log((seen[0][w] + 0.1) / (n[0] + 1)) for w in words])
     members = [np.array([number[w] for w in b], np.int64) for b in bags]
-    value = odds.astype(np.float32)
+    # a text labelled 1 without a string that others confirm may be labelled wrongly: it teaches nothing
+    support = np.array([seen[1][w] for w in words])
+    value = np.where(support >= min(SUPPORT, support.max()), odds, -np.inf).astype(np.float32)
+    least = -np.inf
     clean = np.unique(np.concatenate([m for m, y in zip(members, labels) if not y] or [np.empty(0, np.int64)]))
     by_hash = np.array(sorted(clean.tolist(), key=lambda k: zlib.crc32(words[k].encode())), np.int64)
-    model = None
+    model = Model(np.zeros(BASE ** 3, np.float32), 1.0, 0.0)
     for _ in range(ROUNDS):
-        picked = Counter(int(m[value[m].argmax()]) for m, y in zip(members, labels) if y and len(m))
+        picked = Counter(int(m[value[m].argmax()]) for m, y in zip(members, labels) if y and len(m) and value[m].max() > least)
+        if not picked:
+            break
         hard = clean[np.argsort(-value[clean], kind="stable")[:2000]]
         negative = np.setdiff1d(np.union1d(hard, by_hash[:4000]), np.array(list(picked)))
         positive = np.array([k for k, _ in picked.most_common()], np.int64)
@@ -193,7 +200,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         w = _machine(x, y, cost)
         weights = (features.astype(float) @ (whiten @ w[:-1])).astype(np.float32)
         model = Model(weights, 1.0, 0.0)
-        value = model.strings(words)
+        value, least = model.strings(words), -w[-1]
     top = np.array([value[m].max() if len(m) else EMPTY for m in members], float)
     return model._replace(**dict(zip(("slope", "shift"), _platt(top, label))))
 
