@@ -50,18 +50,31 @@ def month_dimension(fact: DataFrame, date_col: str = "interaction_date") -> Data
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
 
 
-def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=(), dense: bool = True) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Equi-join in which null keys match each other; the key columns are those of ``left``."""
+    on = list(on)
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in on})
+    condition = None
+    for c in on:
+        same = left[c].eqNullSafe(renamed[f"__right_{c}"])
+        condition = same if condition is None else condition & same
+    return left.join(renamed, condition, how).drop(*[f"__right_{c}" for c in on])
+
+
+def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=(), dense: bool = True,
+                   weight: str | None = None) -> DataFrame:
     """Interactions per (group, month), densified over the global month range: empty months get 0.
 
     The grid is generated per group with ``sequence`` over literal bounds (no join
     with a month table); counts are pre-aggregated before the join back. With a
     high-cardinality grouping (e.g. per employer) ``dense=False`` keeps only the
     months that have facts: every measure built on it gives the same values for
-    those rows (``previous_month`` checks month adjacency itself).
+    those rows (``previous_month`` checks month adjacency itself). A null group is a group like
+    any other. ``weight`` names a column of counts in a fact that is aggregated already.
     """
     by = list(by)
     counts = (fact.groupBy(*by, F.trunc(F.col(date_col).cast("date"), "month").alias("month_start"))
-              .agg(F.count(F.lit(1)).cast("long").alias("interactions")))
+              .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("interactions")))
     if not dense:
         return counts
     # bounds and groups come from the (small) monthly aggregate, not from the fact
@@ -72,8 +85,8 @@ def monthly_counts(fact: DataFrame, date_col: str = "interaction_date", by=(), d
         if lo is None:
             return counts
         grid = counts.select(*by).distinct().select(*by, _month_seq(lo, hi).alias("month_start"))
-    return (grid.join(counts, on=[*by, "month_start"], how="left")
-            .withColumn("interactions", F.coalesce(F.col("interactions"), F.lit(0)).cast("long")))
+    empty = grid.withColumn("interactions", F.lit(0).cast("long"))
+    return counts.unionByName(empty).groupBy(*by, "month_start").agg(F.sum("interactions").alias("interactions"))
 
 
 def previous_month(counts: DataFrame, value_col: str = "interactions", by=(), out_col: str = "previous_month") -> DataFrame:

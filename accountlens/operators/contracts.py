@@ -71,7 +71,13 @@ def coerce(col: Column, source: T.DataType, dtype: str) -> Column:
     if dtype == "double":
         return col.try_cast("double") if isinstance(source, T.StringType) else col.cast("double")
     if dtype == "long":
-        # '5.0' is a valid integer once a null was present; a fractional part is not
+        if isinstance(source, T.IntegralType):
+            return col.cast("long")
+        # '5.0' is a valid integer once a null was present; a fractional part is not. Text never passes through
+        # a double, which would change integers beyond 2 ** 53
+        if isinstance(source, T.StringType):
+            exact = col.try_cast("decimal(38,10)")
+            return F.coalesce(col.try_cast("bigint"), F.when(exact == F.floor(exact), exact.try_cast("bigint")))
         d = col.try_cast("double") if isinstance(source, T.StringType) else col.cast("double")
         return F.when(d.isNotNull() & ~F.isnan(d) & (d == F.floor(d)), d.cast("long"))
     raise ValueError(f"unsupported contract type {dtype}")

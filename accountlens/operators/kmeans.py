@@ -52,13 +52,13 @@ def _uniform(h: np.ndarray, restart: int, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
-#: Partial rows (partitions x restarts x k) up to which partial results are summed on the driver
-#: instead of through a groupBy stage; beyond it the reduction runs on executors.
-DIRECT_REDUCE_MAX_ROWS = 20_000
+#: Partial sums are added as fixed-point decimals: exact, so neither the order of arrival nor the number of
+#: partial rows can change a centre.
+SUM_TYPE = "decimal(28,14)"
 
 
-def _direct(n_partitions: int, rows_per_partition: int) -> bool:
-    return n_partitions * rows_per_partition <= DIRECT_REDUCE_MAX_ROWS
+def _exact_sum(column: str):
+    return F.sum(F.col(column).cast(SUM_TYPE)).alias(column)
 
 
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -68,7 +68,7 @@ def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 
 
 def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int,
-               weight_col: str | None = None, n_partitions: int | None = None, trials: int = 1) -> dict:
+               weight_col: str | None = None, trials: int = 1) -> dict:
     """One D^2-sampling pass: ``trials`` candidate centres for every restart in ``restarts``
     (each drawn with probability ~ weight x D^2); returns {(restart, trial): point}."""
     d = len(cols)
@@ -99,19 +99,12 @@ def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list
 
     schema = "restart int, trial int, key double, " + ", ".join(f"{c} double" for c in cols)
     proposals = points.mapInPandas(propose, schema)
-    if n_partitions is not None and _direct(n_partitions, len(slots)):
-        best: dict[tuple, tuple] = {}
-        for row in proposals.collect():
-            sl = (int(row["restart"]), int(row["trial"]))
-            if sl not in best or row["key"] > best[sl][0]:
-                best[sl] = (row["key"], [float(row[c]) for c in cols])
-        return {sl: v[1] for sl, v in best.items()}
-    chosen = (proposals.groupBy("restart", "trial").agg(F.max_by(F.struct(*cols), "key").alias("p")).collect())
+    chosen = (proposals.groupBy("restart", "trial").agg(F.max_by(F.struct(*cols), F.struct("key", *cols)).alias("p")).collect())
     return {(int(row["restart"]), int(row["trial"])): [float(row["p"][c]) for c in cols] for row in chosen}
 
 
 def _potentials(points: DataFrame, cols: list[str], centres: dict, candidates: dict,
-                weight_col: str | None = None, n_partitions: int | None = None) -> dict:
+                weight_col: str | None = None) -> dict:
     """Greedy seeding: the potential sum(w x min(D^2, |x - candidate|^2)) of every (restart, trial) candidate."""
     d = len(cols)
     frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
@@ -131,18 +124,11 @@ def _potentials(points: DataFrame, cols: list[str], centres: dict, candidates: d
         yield pd.DataFrame([(r, t, v) for (r, t), v in acc.items()], columns=["restart", "trial", "pot"])
 
     parts = points.mapInPandas(partial, "restart int, trial int, pot double")
-    if n_partitions is not None and _direct(n_partitions, len(cands)):
-        out: dict[tuple, float] = {}
-        for row in parts.collect():
-            sl = (int(row["restart"]), int(row["trial"]))
-            out[sl] = out.get(sl, 0.0) + row["pot"]
-        return out
-    rows = parts.groupBy("restart", "trial").agg(F.sum("pot").alias("pot")).collect()
+    rows = parts.groupBy("restart", "trial").agg(_exact_sum("pot")).collect()
     return {(int(row["restart"]), int(row["trial"])): float(row["pot"]) for row in rows}
 
 
-def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None,
-                n_partitions: int | None = None) -> dict:
+def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None) -> dict:
     """Per (restart, cluster): weight, weighted coordinate sums and squared-distance sum w.r.t. ``centres``."""
     frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
 
@@ -169,30 +155,19 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
 
     schema = "restart int, cluster int, n double, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
     partials = points.mapInPandas(partial, schema)
-    if n_partitions is not None and _direct(n_partitions, sum(len(c) for c in frozen.values())):
-        out: dict[tuple, list] = {}
-        for row in partials.collect():
-            key = (int(row["restart"]), int(row["cluster"]))
-            acc = out.setdefault(key, [0.0, [0.0] * len(cols), 0.0])
-            acc[0] += row["n"]
-            acc[1] = [a + row[f"s_{c}"] for a, c in zip(acc[1], cols)]
-            acc[2] += row["sse"]
-        return {k: (v[0], v[1], v[2]) for k, v in out.items()}
     agg = (partials.groupBy("restart", "cluster")
-           .agg(F.sum("n").alias("n"), *[F.sum(f"s_{c}").alias(f"s_{c}") for c in cols], F.sum("sse").alias("sse"))
+           .agg(_exact_sum("n"), *[_exact_sum(f"s_{c}") for c in cols], _exact_sum("sse"))
            .collect())
     return {(int(row["restart"]), int(row["cluster"])): (float(row["n"]), [float(row[f"s_{c}"]) for c in cols],
                                                          float(row["sse"])) for row in agg}
 
 
 def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_iter: int,
-                tol_abs: float, weight_col: str | None = None,
-                n_partitions: int | None = None) -> tuple[list[list[float]], float]:
+                tol_abs: float, weight_col: str | None = None) -> tuple[list[list[float]], float]:
     """Fit ``n_init`` restarts together; returns the centres and inertia of the best one.
 
     ``points`` holds ``cols`` (complete rows only), ``__h`` (a 64-bit hash of the point) and
-    optionally a weight column (a point of weight w counts as w identical rows). ``n_partitions``
-    (the partition count of ``points``) enables the driver-side reduction of small partial results.
+    optionally a weight column (a point of weight w counts as w identical rows).
     A restart converges when its summed squared centre shift is <= ``tol_abs``;
     empty clusters keep their centre. Ties in inertia go to the lowest restart.
     """
@@ -202,9 +177,9 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     trials = 2 + int(np.log(k))   # greedy k-means++: several draws per step, the lowest potential wins
     for step in range(k):
         n_t = 1 if step == 0 else trials
-        cands = _seed_step(points, cols, centres, open_r, step, weight_col, n_partitions, n_t)
+        cands = _seed_step(points, cols, centres, open_r, step, weight_col, n_t)
         if n_t > 1 and cands:
-            pots = _potentials(points, cols, {r: centres[r] for r in open_r}, cands, weight_col, n_partitions)
+            pots = _potentials(points, cols, {r: centres[r] for r in open_r}, cands, weight_col)
         nxt = []
         for r in open_r:
             mine = [t for t in range(n_t) if (r, t) in cands]
@@ -220,7 +195,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
     for _ in range(max_iter):
         if not active:
             break
-        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col, n_partitions)
+        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
         for r in sorted(active):
             old = centres[r]
             new = []
@@ -232,7 +207,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
             if shift <= tol_abs:
                 active.discard(r)
 
-    final = _lloyd_pass(points, cols, centres, weight_col, n_partitions)
+    final = _lloyd_pass(points, cols, centres, weight_col)
     inertia = {r: sum(v[2] for (rr, _), v in final.items() if rr == r) for r in centres}
     best = min(centres, key=lambda r: (inertia[r], r))
     return centres[best], inertia[best]

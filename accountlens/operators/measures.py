@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from accountlens import constants as C
 from accountlens.functions.expressions import as_date_lit, in_months_window, safe_divide
-from accountlens.operators.calendar import monthly_counts, previous_month
+from accountlens.operators.calendar import monthly_counts, null_safe_join, previous_month
 
 
 def _by(by) -> list[str]:
@@ -54,8 +54,11 @@ def avg_interactions_per_employer(interactions: DataFrame, employers: DataFrame,
         in_window = in_months_window(F.col("date"), F.col("last_date"), months)
         num = daily.withColumn("last_date", last).groupBy(*by).agg(
             F.sum(F.when(in_window, F.col("interactions"))).cast("long").alias("interactions_12m"))
-        den = active_employers(employers, by)
-        joined = den.join(num, on=by, how="full")
+        # union and groupBy instead of a join: the null group meets itself
+        den = active_employers(employers, by).withColumn("interactions_12m", F.lit(None).cast("long"))
+        both = num.withColumn("active_employers", F.lit(None).cast("long")).unionByName(den)
+        joined = both.groupBy(*by).agg(F.max("interactions_12m").alias("interactions_12m"),
+                                       F.max("active_employers").alias("active_employers"))
     else:
         # global context: the last date is one value, used as a literal
         last_date = daily.agg(F.max("date")).first()[0]
@@ -148,7 +151,7 @@ def interactions_ytd(interactions: DataFrame, employers: DataFrame | None = None
     """M8: per dense month, interactions from 1 January to the end of that month."""
     by = _by(by)
     fact = _attach(interactions, employers, by)
-    counts = monthly_counts(fact, "interaction_date", by, dense)
+    counts = monthly_counts(fact, "interaction_date", by, dense, "n")
     w = (Window.partitionBy(*by, F.year("month_start")).orderBy("month_start")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return counts.withColumn("interactions_ytd", F.sum("interactions").over(w).cast("long"))
@@ -170,24 +173,27 @@ def mom_growth(interactions: DataFrame, employers: DataFrame | None = None, by=(
 
 
 def rolling_3m(interactions: DataFrame, employers: DataFrame | None = None, by=(),
-               months: int = C.ROLLING_WINDOW_MONTHS) -> DataFrame:
-    """M10 per month: mean daily count over the days with interactions in the ``months`` ending at month end.
+               months: int = C.ROLLING_WINDOW_MONTHS, dense: bool = True) -> DataFrame:
+    """M10 per month: mean daily count over the days with interactions in the ``months`` ending at month end,
+    or at the calendar's last day in the last month, where the daily form ends too.
 
     Each (group, day) row is sent to the month ends whose window contains it
     (at most ``months`` + 1 candidates, filtered exactly); no range join.
     """
     by = _by(by)
-    daily = daily_fact(interactions, employers, by) if by else daily_fact(interactions)
-    cands = F.sequence(F.lit(0), F.lit(months))
-    exploded = daily.select(*by, "date", "interactions",
-                            F.explode(cands).alias("k")).withColumn(
-        "month_end", F.last_day(F.add_months(F.col("date"), F.col("k").cast("int"))))
-    inside = exploded.filter(in_months_window(F.col("date"), F.col("month_end"), months))
+    fact = _attach(interactions, employers, by)
+    daily = fact.groupBy(*by, F.col("interaction_date").alias("date")).agg(F.sum("n").alias("interactions"))
+    last_day = daily.agg(F.max("date")).first()[0]
+    exploded = daily.select(*by, "date", "interactions", F.explode(F.sequence(F.lit(0), F.lit(months))).alias("k"))
+    exploded = exploded.withColumn("month_end", F.least(
+        F.last_day(F.add_months(F.col("date"), F.col("k").cast("int"))), F.lit(last_day).cast("date")))
+    # the months beyond the calendar end collapse onto it: one row per (day, month end)
+    inside = exploded.filter(in_months_window(F.col("date"), F.col("month_end"), months)).drop("k").distinct()
     agg = inside.groupBy(*by, "month_end").agg(F.sum("interactions").cast("long").alias("window_interactions"),
                                              F.count(F.lit(1)).cast("long").alias("active_days"))
-    counts = monthly_counts(_attach(interactions, employers, by), "interaction_date", by)
-    counts = counts.withColumn("month_end", F.last_day("month_start"))
-    out = counts.join(agg, on=[*by, "month_end"], how="left")
+    counts = monthly_counts(fact, "interaction_date", by, dense, "n")
+    counts = counts.withColumn("month_end", F.least(F.last_day("month_start"), F.lit(last_day).cast("date")))
+    out = null_safe_join(counts, agg, [*by, "month_end"])
     return out.select(*by, "month_start", "interactions",
                       safe_divide(F.col("window_interactions"), F.col("active_days")).alias("rolling_3m_interactions"))
 
@@ -205,34 +211,38 @@ def rolling_3m_daily(interactions: DataFrame, employers: DataFrame | None = None
     daily = daily_fact(interactions, employers, by)
     lo_hi = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     if lo_hi["lo"] is None:
-        return daily
+        return daily.select(*by, "date", "interactions", F.lit(None).cast("double").alias("rolling_3m_interactions"))
     days = F.explode(F.sequence(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"]), F.expr("INTERVAL 1 DAY")))
     groups = daily.select(*by).distinct() if by else None
     grid = (groups.select(*by, days.alias("date")) if by else daily.sparkSession.range(1).select(days.alias("date")))
-    dense = (grid.join(daily, on=[*by, "date"], how="left")
-             .withColumn("interactions", F.coalesce("interactions", F.lit(0)).cast("long")))
+    dense = (daily.unionByName(grid.withColumn("interactions", F.lit(0).cast("long")))
+             .groupBy(*by, "date").agg(F.sum("interactions").alias("interactions")))
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     run = (dense.withColumn("cum_n", F.sum("interactions").over(w))
            .withColumn("cum_days", F.sum((F.col("interactions") > 0).cast("long")).over(w)))
     start = run.select(*by, F.col("date").alias("start_date"), F.col("cum_n").alias("start_n"),
                        F.col("cum_days").alias("start_days"))
-    joined = (run.withColumn("start_date", F.add_months("date", -months))
-              .join(start, on=[*by, "start_date"], how="left"))
+    joined = null_safe_join(run.withColumn("start_date", F.add_months("date", -months)), start, [*by, "start_date"])
     n = F.col("cum_n") - F.coalesce("start_n", F.lit(0))
     d = F.col("cum_days") - F.coalesce("start_days", F.lit(0))
     return joined.select(*by, "date", "interactions", safe_divide(n, d).alias("rolling_3m_interactions"))
 
 
 def _attach(interactions: DataFrame, employers: DataFrame | None, by) -> DataFrame:
-    if not by:
-        return interactions
-    if employers is None:
-        raise ValueError("grouping by employer attributes needs the employer table")
+    """Counts ``n`` per (``by``, interaction_date). Employer attributes join an aggregate per (employer, day), so the
+    raw fact is read once and a hot employer brings at most one row a day (and own column) to the join."""
     own = [b for b in by if b in interactions.columns]
+    day = F.col("interaction_date").cast("date").alias("interaction_date")
     if len(own) == len(by):
-        return interactions
-    return interactions.join(employers.select("employer_id", *[b for b in by if b not in own]), "employer_id", "left")
+        return interactions.groupBy(*by, day).agg(F.count(F.lit(1)).alias("n"))
+    if employers is None:
+        raise ValueError("grouping by employer attributes needs the employer table")
+    keys = list(dict.fromkeys(["employer_id", *own]))
+    per_day = interactions.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("n"))
+    attributes = employers.select("employer_id", *[b for b in by if b not in own])
+    joined = per_day.join(attributes, "employer_id", "left")
+    return joined.groupBy(*by, "interaction_date").agg(F.sum("n").alias("n"))
 
 
 def avg_time_to_fill(vacancies: DataFrame, by=()) -> DataFrame:

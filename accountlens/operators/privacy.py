@@ -12,7 +12,7 @@ import os
 import re
 import secrets
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountlens import constants as C
@@ -32,9 +32,8 @@ class Pseudonymizer:
     def __init__(self, salt: str | None = None):
         self._salt = resolve_salt(salt)
 
-    def _hide_salt(self, df: DataFrame) -> None:
+    def _hide_salt(self, spark: SparkSession) -> None:
         # the salt is a literal in the plan: redact it from plan strings and logs
-        spark = df.sparkSession
         pattern = re.escape(self._salt)
         current = spark.conf.get("spark.sql.redaction.string.regex", None)
         if not current or pattern not in current:
@@ -42,14 +41,16 @@ class Pseudonymizer:
                            f"{current}|{pattern}" if current else pattern)
 
     def hash_column(self, col):
-        """PII3: null stays null."""
+        """PII3: null stays null. The salt is hidden from plan strings of the active session."""
+        if spark := SparkSession.getActiveSession():
+            self._hide_salt(spark)
         return pseudonym(F.col(col) if isinstance(col, str) else col, self._salt)
 
     def _hash_present(self, df: DataFrame, columns) -> DataFrame:
         present = [c for c in columns if c in df.columns]
         if not present:
             return df
-        self._hide_salt(df)
+        self._hide_salt(df.sparkSession)
         return df.withColumns({c: self.hash_column(c) for c in present})
 
     def pseudonymize_employers(self, df: DataFrame, processed_at: str | None = None) -> DataFrame:

@@ -223,7 +223,7 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
         self._setDefault(nSegments=C.KMEANS_N_SEGMENTS, nInit=C.KMEANS_N_INIT, seed=C.KMEANS_SEED,
                          maxIter=C.KMEANS_MAX_ITER, tol=1e-4,
                          lastContactCol="last_contact_date", nullPolicy="error",
-                         rowsPerPartition=1_000_000, parallelism=8, solver="batched")
+                         rowsPerPartition=50_000, parallelism=8, solver="batched")
 
 
 class RFMSegmenter(Estimator, _SegmenterParams):
@@ -308,8 +308,7 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         pts = materialize(pts).cache()
         try:
             centres, _ = fit_batched(pts, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
-                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight",
-                                     n_partitions=self._n_parts(n_fit))
+                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight")
         finally:
             pts.unpersist()
         return centres

@@ -597,12 +597,12 @@ def m1(spark, sf):
     "ON i.employer_id = e.employer_id GROUP BY 1, 2)",
     "lastd AS (SELECT sector, max(d) AS last_d FROM daily GROUP BY sector)",
     "num AS (SELECT daily.sector, CAST(sum(CASE WHEN d > last_d - INTERVAL 12 MONTH AND d <= last_d THEN n END) AS BIGINT) "
-    "AS i12 FROM daily JOIN lastd ON daily.sector = lastd.sector GROUP BY daily.sector)",
+    "AS i12 FROM daily JOIN lastd ON daily.sector IS NOT DISTINCT FROM lastd.sector GROUP BY daily.sector)",
     "den AS (SELECT sector, CAST(count(*) FILTER (WHERE status = 'Active') AS BIGINT) AS act FROM employers_raw GROUP BY sector)")
    + "SELECT coalesce(den.sector, num.sector) AS sector, CAST(coalesce(i12, 0) AS BIGINT) AS interactions_12m, "
    "CAST(coalesce(act, 0) AS BIGINT) AS active_employers, CASE WHEN coalesce(act, 0) = 0 THEN 0.0::DOUBLE "
    "ELSE CAST(coalesce(i12, 0) AS DOUBLE) / CAST(act AS DOUBLE) END AS avg_interactions_per_employer "
-   "FROM den FULL JOIN num ON den.sector = num.sector")
+   "FROM den FULL JOIN num ON den.sector IS NOT DISTINCT FROM num.sector")
 def m2(spark, sf):
     return ms.avg_interactions_per_employer(_inter(spark, sf), td.employers_raw(spark, sf), by=["sector"])
 
@@ -716,7 +716,8 @@ def m9(spark, sf):
 
 @q("m10_rolling_3m", S.with_base(*_MONTHS, "daily AS (SELECT interaction_date AS d, count(*) AS n FROM interactions GROUP BY 1)")
    + "SELECT y.month_start, y.interactions, (SELECT CAST(sum(n) AS DOUBLE) / CAST(count(*) AS DOUBLE) FROM daily WHERE "
-   "d > last_day(y.month_start) - INTERVAL 3 MONTH AND d <= last_day(y.month_start)) AS rolling_3m_interactions FROM ytd y")
+   "d > least(last_day(y.month_start), (SELECT max(d) FROM daily)) - INTERVAL 3 MONTH AND d <= last_day(y.month_start)) "
+   "AS rolling_3m_interactions FROM ytd y")
 def m10(spark, sf):
     return ms.rolling_3m(_inter(spark, sf))
 
@@ -762,6 +763,23 @@ def m14(spark, sf):
     return inter.groupBy("consultant_id").agg(F.count(F.lit(1)).cast("long").alias("interactions_12m"))
 
 
+@q("m8_interactions_ytd_by_outcome", S.with_base(
+    "bounds AS (SELECT CAST(date_trunc('month', min(interaction_date)) AS TIMESTAMP) AS lo, "
+    "CAST(date_trunc('month', max(interaction_date)) AS TIMESTAMP) AS hi FROM interactions)",
+    "grid AS (SELECT t.outcome, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month_start "
+    "FROM (SELECT DISTINCT nullif(outcome, 'Positive') AS outcome FROM interactions) t, bounds)",
+    "c AS (SELECT nullif(outcome, 'Positive') AS outcome, CAST(date_trunc('month', interaction_date) AS DATE) AS month_start, "
+    "count(*) AS n FROM interactions GROUP BY 1, 2)",
+    "dense AS (SELECT g.outcome, g.month_start, CAST(coalesce(c.n, 0) AS BIGINT) AS interactions FROM grid g "
+    "LEFT JOIN c ON g.outcome IS NOT DISTINCT FROM c.outcome AND g.month_start = c.month_start)")
+   + "SELECT outcome, month_start, interactions, CAST(sum(interactions) OVER (PARTITION BY outcome, year(month_start) "
+   "ORDER BY month_start ROWS UNBOUNDED PRECEDING) AS BIGINT) AS interactions_ytd FROM dense")
+def m8_by_outcome(spark, sf):
+    """One outcome is made null, so that the null group has rows."""
+    inter = _inter(spark, sf)
+    return ms.interactions_ytd(inter.withColumn("outcome", F.nullif("outcome", F.lit("Positive"))), by=["outcome"])
+
+
 @q("m15_previous_month", S.with_base(*_MONTHS) + "SELECT month_start, interactions, previous_month FROM ytd")
 def m15(spark, sf):
     return previous_month(monthly_counts(_inter(spark, sf)), "interactions")
@@ -862,6 +880,19 @@ def ext4(spark, sf):
     return new_rows(batch, history)
 
 
+@q("ext4_append_twice", S.with_base() + "SELECT * FROM interactions")
+def ext4_twice(spark, sf):
+    """History, then an overlapping batch delivered twice; the table holds every interaction once."""
+    from accountlens.streaming.incremental import append_new
+    inter = _inter(spark, sf)
+    target = _scratch(spark, "fact") + "/interactions"
+    append_new(spark, inter.filter(F.col("interaction_date") < F.lit(_HISTORY_UNTIL)), target)
+    batch = inter.filter((F.col("interaction_date") >= F.lit(_BATCH_FROM)) | F.col("interaction_date").isNull())
+    append_new(spark, batch, target)
+    append_new(spark, batch, target)
+    return spark.read.parquet(target)
+
+
 @q("ext5_row_level_security", S.with_base() + "SELECT a.consultant_id, e.* FROM (SELECT DISTINCT consultant_id, employer_id "
    "FROM interactions WHERE consultant_id IS NOT NULL AND employer_id IS NOT NULL) a JOIN employers_raw e "
    "ON a.employer_id = e.employer_id")
@@ -901,11 +932,19 @@ def src1(spark, sf):
     return load_file(spark, path)
 
 
-@q("src2_parquet_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+@q("src1_csv_quoted_cells", "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents")
+def src1_quoted(spark, sf):
+    """Texts with quotes and line breaks written as CSV and read back."""
+    from accountlens.sources.files import load_file, write_table
+    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "text", "lang", "source")
+    path = write_table(docs, _scratch(spark, "documents") + "/documents.csv", "csv")
+    return load_file(spark, path, multi_line=True)
+
+
+@q("src2_parquet_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def src2(spark, sf):
     from accountlens.sources.files import load_file
-    return load_file(spark, f"{sf.rstrip('/')}/customer.parquet").select("c_custkey", "c_name", "c_acctbal").filter(
-        F.col("c_acctbal") > 0)
+    return load_file(spark, f"{sf.rstrip('/')}/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
 
 
 @q("src3_format_dispatch", S.with_base() + "SELECT employer_id, company_size, status FROM employers_raw")
@@ -981,7 +1020,7 @@ def uni1(spark, sf):
     from accountlens.sources.files import union_frames
     inter = _inter(spark, sf)
     early = inter.filter(F.col("interaction_date") < F.lit(_SPLIT)).select("interaction_id", "employer_id", "interaction_date")
-    late = inter.filter(F.col("interaction_date") >= F.lit(_SPLIT)).select("interaction_id", "employer_id",
+    late = inter.filter((F.col("interaction_date") >= F.lit(_SPLIT)) | F.col("interaction_date").isNull()).select("interaction_id", "employer_id",
                                                                              "interaction_date", "outcome")
     return union_frames([early, late])
 

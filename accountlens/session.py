@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -58,8 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Uses the directory already set on the context, else ``spark.checkpoint.dir``.
-    Only when neither is set (local runs and tests) a private temp folder is
-    created; on a cluster ``spark.checkpoint.dir`` must name shared storage.
+    Only for a ``local`` master a private temp folder takes its place; on a
+    cluster ``spark.checkpoint.dir`` must name shared storage, else this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="accountlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

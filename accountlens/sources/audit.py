@@ -45,5 +45,5 @@ class AuditLog:
     def save(self, out_dir: str) -> str:
         """SNK3: append this run's entries to the ``ingestion_log`` table."""
         path = f"{out_dir.rstrip('/')}/ingestion_log"
-        self.to_dataframe().coalesce(1).write.mode("append").option("header", True).csv(path)
+        self.to_dataframe().coalesce(1).write.mode("append").option("header", True).options(quote='"', escape='"').csv(path)
         return path

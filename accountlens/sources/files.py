@@ -27,11 +27,7 @@ def _fs_path(spark: SparkSession, path: str):
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when the path (or glob) matches at least one file or directory (Hadoop file system)."""
-    try:
-        p, fs = _fs_path(spark, path)
-    except Exception:  # no JVM handle (e.g. a remote session): let the reader report a missing path
-        import glob
-        return bool(glob.glob(path.replace("file:", ""))) if "://" not in path else True
+    p, fs = _fs_path(spark, path)
     matches = fs.globStatus(p)
     return matches is not None and len(matches) > 0
 
@@ -57,13 +53,21 @@ def normalize_nulls(df: DataFrame, tokens=C.NULL_TOKENS) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(toks), F.col(c)) for c in strings})
 
 
-def load_file(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
-    """SRC1 / SRC2 / SRC3: scan a CSV (header, every column as text unless ``schema``) or Parquet source."""
+#: Cells are quoted with double quotes and a quote in a cell is doubled, as pandas and spreadsheets write them.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def load_file(spark: SparkSession, path: str, fmt: str | None = None, schema=None, multi_line: bool = False) -> DataFrame:
+    """SRC1 / SRC2 / SRC3: scan a CSV (header, every column as text unless ``schema``) or Parquet source.
+
+    ``multi_line`` allows line breaks inside quoted cells; a file is then read by one task, not split.
+    """
     kind = detect_format(path, fmt)
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source file not found: {path}")
     if kind == "csv":
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").options(**CSV_QUOTING)
+                  .option("multiLine", multi_line))
         if schema is not None:
             reader = reader.schema(schema)
         else:
@@ -115,7 +119,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        (w.option("header", True).options(**CSV_QUOTING).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     elif fmt == "parquet":
         w.parquet(path)
     else:

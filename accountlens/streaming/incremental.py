@@ -13,13 +13,27 @@ files, the dedupe makes a re-delivered batch a no-op.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from accountlens.session import checkpoint_dir
+from accountlens.session import materialize
+
+
+def keyless_rows(incoming: DataFrame, key: str = "interaction_id") -> DataFrame:
+    """Rows without a key: they cannot be told apart from re-delivered ones and belong in quarantine."""
+    return incoming.where(F.col(key).isNull())
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame | None, key: str = "interaction_id") -> DataFrame:
-    """Rows of ``incoming`` whose key is not in ``existing`` (and not repeated within the batch)."""
-    batch = incoming.dropDuplicates([key])
+    """Rows of ``incoming`` whose key is neither null nor in ``existing``, one for each key.
+
+    Of different rows with one key the least is taken, compared column by column in the order of the batch
+    (nulls first), so the choice does not depend on how the batch is partitioned.
+    """
+    others = [c for c in incoming.columns if c != key]
+    keyed = incoming.where(F.col(key).isNotNull())
+    batch = keyed.groupBy(key).agg(F.min(F.struct(*others)).alias("row")) if others else keyed.distinct()
+    if others:
+        batch = batch.select(key, "row.*").select(*incoming.columns)
     if existing is None:
         return batch
     seen = existing.select(key).join(batch.select(key), key, "left_semi").distinct()
@@ -31,14 +45,26 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS") or path_exists(spark, path.rstrip("/") + "/*.parquet")
 
 
+def _quarantine(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    rows = rows.distinct()
+    if _table_exists(spark, path):
+        rows = rows.exceptAll(spark.read.parquet(path).select(*rows.columns))
+    rows = materialize(rows)
+    if not rows.isEmpty():
+        rows.write.mode("append").parquet(path)
+
+
 def append_new(spark: SparkSession, incoming: DataFrame, target_path: str, key: str = "interaction_id",
                partition_by=None) -> int:
-    """Append the unseen rows of ``incoming`` to the parquet table at ``target_path``; returns the count appended."""
+    """Append the unseen rows of ``incoming`` to the parquet table at ``target_path``; returns the count appended.
+
+    Rows without a key go to ``<target_path>_quarantine``, the same row once however often it is delivered.
+    """
+    _quarantine(spark, keyless_rows(incoming, key), target_path.rstrip("/") + "_quarantine")
     existing = spark.read.parquet(target_path) if _table_exists(spark, target_path) else None
     fresh = new_rows(incoming, existing, key)
     # materialise once so the count and the write agree even if the target changes meanwhile
-    checkpoint_dir(spark)
-    fresh = fresh.checkpoint(eager=True)
+    fresh = materialize(fresh)
     n = fresh.count()
     if n:
         w = fresh.write.mode("append")
@@ -51,7 +77,8 @@ def append_new(spark: SparkSession, incoming: DataFrame, target_path: str, key:
 def stream_ingest(spark: SparkSession, source_dir: str, schema, target_path: str, checkpoint: str | None = None,
                   key: str = "interaction_id", fmt: str = "parquet"):
     """Process every file that arrived in ``source_dir`` since the last run, then stop (``availableNow``)."""
-    ckpt = checkpoint or (checkpoint_dir(spark).rstrip("/") + "/incremental-" + target_path.strip("/").replace("/", "_"))
+    # beside the target, so that a restarted session finds the offsets again
+    ckpt = checkpoint or target_path.rstrip("/") + "_checkpoint"
     stream = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         stream = stream.option("header", True)

