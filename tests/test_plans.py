@@ -23,13 +23,18 @@ def test_no_cartesian_or_nested_loop(spark, name):
 
 
 @pytest.mark.parametrize("name,needle", [("flt1_date_cutoff", "GreaterThanOrEqual(o_orderdate"),
-                                         ("ext2_retain_interactions", "GreaterThanOrEqual(o_orderdate"),
-                                         ("src2_parquet_scan", "GreaterThan(c_acctbal")])
+                                         ("ext2_retain_interactions", "GreaterThanOrEqual(o_orderdate")])
 def test_date_and_value_filters_reach_the_scan(spark, name, needle):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "PushedFilters" in plan and needle in plan
 
 
+def test_filters_on_a_loaded_file_reach_the_scan(spark):
+    from accountlens.sources.files import load_file
+    plan = plan_of(load_file(spark, f"{SF}/customer.parquet").where("c_acctbal > 0").select("c_custkey"))
+    assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThan(c_acctbal" in plan
+
+
 def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(entry.queries()["m14_period_window"](spark, SF))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
