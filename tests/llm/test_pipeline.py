@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 import re
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,16 +103,14 @@ def test_toxicity_on_held_out_labels(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     rows = toxicity.training_rows(docs, labels)
     model = toxicity.fit([t for _, t, _ in rows], [y for _, _, y in rows])
-    # at this scale a sixth of the texts labelled toxic hold no insult: recall is asked for those with a word that at
-    # least five training texts labelled toxic, and none labelled clean, have
-    seen = [Counter(w for _, t, y in rows if y == c for w in toxicity.units(t)) for c in (0, 1)]
-    known = {w for w, n in seen[1].items() if n >= 5 and w not in seen[0]}
     judged = toxicity.score_documents(docs.join(labels.select("doc_id"), "doc_id", "left_semi").repartition(8), model)
-    got = judged.where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
-    clean = [r["predicted"] for r in got if not r["toxic"]]
-    insulting = [r["predicted"] for r in got if r["toxic"] and known & toxicity.units(r["text"])]
-    assert len(insulting) > 50 and sum(insulting) >= 0.95 * len(insulting)
-    assert sum(clean) <= 0.01 * len(clean)
+    got = judged.where("held_out").join(labels, "doc_id").select("toxic", "score").collect()
+    bad, clean = ([r["score"] for r in got if r["toxic"] == y] for y in (1, 0))
+    wins = sum((x > y) + (x == y) / 2 for x in bad for y in clean)
+    # measured here: area 0.95, recall 0.78, false positives 0.005; insults outside English are rare and word-like
+    assert wins >= 0.93 * len(bad) * len(clean)
+    assert sum(x >= 0.7 for x in bad) >= 0.7 * len(bad)
+    assert sum(x >= 0.7 for x in clean) <= 0.01 * len(clean)
 
 
 def test_default_weights_follow_the_sizes(spark):
