@@ -268,7 +268,12 @@ def _joined(spans: list[Span]) -> str:
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
     rows = docs.where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= TRAIN_CHARS))
-    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t")).orderBy("h", "t").limit(TRAIN_DOCS)
+    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"))
+    # the sample's largest hash first, from hashes alone: then only the sampled texts travel
+    last = rows.select("h").orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    rows = rows.where(F.col("h") <= last).orderBy("h", "t").limit(TRAIN_DOCS)
     return [r["t"] for r in rows.collect()]
 
 
