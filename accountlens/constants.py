@@ -8,19 +8,15 @@ sets, weights, thresholds). They are plain data; no logic lives here.
 from __future__ import annotations
 
 # --- fixed values: segment definitions, in rank order (0 = best) ------------
-# (segment_id, name, color_hex, priority, description, recommended action)
+# (segment_id, name, color_hex, priority, recommended action)
 SEGMENTS = [
     (0, "Champions", "#22c55e", 1,
-     "Meest waardevolle, actieve werkgevers",
      "Behoud — proactief contact, exclusieve diensten"),
     (1, "Potentials", "#3b82f6", 2,
-     "Regelmatig contact, nog niet volledig benut",
      "Ontwikkelen — upsell kansen identificeren"),
     (2, "At Risk", "#f59e0b", 3,
-     "Vroeger actief, recent stiller geworden",
      "Reactiveren — persoonlijk hercontact initiëren"),
     (3, "Lost", "#ef4444", 4,
-     "Geen recente interactie meer",
      "Evalueren — win-back campagne of afschrijven"),
 ]
 MAX_SEGMENTS = len(SEGMENTS)

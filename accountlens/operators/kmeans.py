@@ -13,9 +13,7 @@ scans of the cached points; this solver serves all restarts with every scan:
   potential; the lowest potential is kept;
 * Lloyd: each partition computes nearest centres and per-(restart, cluster)
   partial sums with NumPy on Arrow batches; ``groupBy(restart, cluster)``
-  reduces them to ``restarts x k`` rows that reach the driver (when the partial
-  rows, ``partitions x restarts x k``, stay under ``DIRECT_REDUCE_MAX_ROWS`` they
-  are summed on the driver directly, saving a stage per pass);
+  reduces them to ``restarts x k`` rows that reach the driver;
 * a last pass computes every restart's inertia with its final centres.
 
 Centres travel in the task closure, so the plan (and its generated code)
@@ -162,6 +160,31 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
                                                          float(row["sse"])) for row in agg}
 
 
+def lloyd(points: DataFrame, cols: list[str], centres: dict, max_iter: int, tol_abs: float,
+          weight_col: str | None = None) -> dict:
+    """Lloyd steps from ``centres`` ({restart: list of points}), all restarts in each pass; returns the moved centres.
+
+    A restart stops when its summed squared centre shift is <= ``tol_abs``; empty clusters keep their centre.
+    """
+    centres = dict(centres)
+    active = set(centres)
+    for _ in range(max_iter):
+        if not active:
+            break
+        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
+        for r in sorted(active):
+            old = centres[r]
+            new = []
+            for c, centre in enumerate(old):
+                n, s, _ = stats.get((r, c), (0, None, 0.0))
+                new.append([x / n for x in s] if n else list(centre))
+            shift = sum((a - b) ** 2 for cn, co in zip(new, old) for a, b in zip(cn, co))
+            centres[r] = new
+            if shift <= tol_abs:
+                active.discard(r)
+    return centres
+
+
 def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_iter: int,
                 tol_abs: float, weight_col: str | None = None) -> tuple[list[list[float]], float]:
     """Fit ``n_init`` restarts together; returns the centres and inertia of the best one.
@@ -189,24 +212,7 @@ def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_ite
             centres[r] = centres[r] + [cands[(r, best_t)]]
             nxt.append(r)
         open_r = nxt
-    centres = {r: c for r, c in centres.items() if c}
-
-    active = set(centres)
-    for _ in range(max_iter):
-        if not active:
-            break
-        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
-        for r in sorted(active):
-            old = centres[r]
-            new = []
-            for c, centre in enumerate(old):
-                n, s, _ = stats.get((r, c), (0, None, 0.0))
-                new.append([x / n for x in s] if n else list(centre))
-            shift = sum((a - b) ** 2 for cn, co in zip(new, old) for a, b in zip(cn, co))
-            centres[r] = new
-            if shift <= tol_abs:
-                active.discard(r)
-
+    centres = lloyd(points, cols, {r: c for r, c in centres.items() if c}, max_iter, tol_abs, weight_col)
     final = _lloyd_pass(points, cols, centres, weight_col)
     inertia = {r: sum(v[2] for (rr, _), v in final.items() if rr == r) for r in centres}
     best = min(centres, key=lambda r: (inertia[r], r))

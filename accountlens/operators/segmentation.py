@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from accountlens import constants as C
 from accountlens.functions.expressions import clip, nan_to_null, round_half_even, whole_days_since
-from accountlens.operators.kmeans import fit_batched
+from accountlens.operators.kmeans import fit_batched, lloyd
 from accountlens.session import materialize
 
 RFM_INPUTS = ["recency_days", "frequency_12m", "revenue_potential"]
@@ -175,7 +175,7 @@ def apply_segments(df: DataFrame, rank_map: dict[int, int], cluster_col: str = "
     sid = F.col("segment_id")
     return (out.withColumn("segment_name", _lookup({s[0]: s[1] for s in C.SEGMENTS}, sid, "string"))
             .withColumn("segment_priority", _lookup({s[0]: s[3] for s in C.SEGMENTS}, sid, "int"))
-            .withColumn("segment_action", _lookup({s[0]: s[5] for s in C.SEGMENTS}, sid, "string")))
+            .withColumn("segment_action", _lookup({s[0]: s[4] for s in C.SEGMENTS}, sid, "string")))
 
 
 def priority_score_expr(rfm: Column, recency: Column, f_score: Column) -> Column:
@@ -217,6 +217,8 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
                         typeConverter=TypeConverters.toInt)
     solver = Param(Params._dummy(), "solver", "'batched' (all restarts per data pass) or 'mllib' (one MLlib KMeans per restart)",
                    typeConverter=TypeConverters.toString)
+    startCentres = Param(Params._dummy(), "startCentres", "nSegments score points to start from, in place of nInit "
+                         "seeded restarts (batched solver)", typeConverter=TypeConverters.toList)
 
     def __init__(self):
         super().__init__()
@@ -232,7 +234,7 @@ class RFMSegmenter(Estimator, _SegmenterParams):
     @keyword_only
     def __init__(self, *, asOf=None, nSegments=None, nInit=None, seed=None, maxIter=None, tol=None,
                  lastContactCol=None, nullPolicy=None, rowsPerPartition=None, parallelism=None,
-                 solver=None):
+                 solver=None, startCentres=None):
         super().__init__()
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         if "asOf" in kwargs:
@@ -249,6 +251,12 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         policy = self.getOrDefault("nullPolicy")
         if policy not in ("error", "keep"):
             raise ValueError("nullPolicy must be 'error' or 'keep'")
+        if self.isSet("startCentres"):
+            start = self.getOrDefault("startCentres")
+            if len(start) != k or any(len(c) != len(SCORE_COLS) for c in start):
+                raise ValueError(f"startCentres must be {k} points of {len(SCORE_COLS)} scores")
+            if self.getOrDefault("solver") != "batched":
+                raise ValueError("startCentres needs the batched solver")
 
         feats = compute_rfm(dataset, as_of, self.getOrDefault("lastContactCol"))
         # the fit reads its inputs several times (stats, K-Means, ranking): derive them once
@@ -307,6 +315,9 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         pts = pts.select(F.xxhash64(*SCORE_COLS, F.lit(self.getOrDefault("seed"))).alias("__h"), *SCORE_COLS, "weight")
         pts = materialize(pts).cache()
         try:
+            if self.isSet("startCentres"):
+                start = {0: [list(map(float, c)) for c in self.getOrDefault("startCentres")]}
+                return lloyd(pts, SCORE_COLS, start, self.getOrDefault("maxIter"), tol_abs, "weight")[0]
             centres, _ = fit_batched(pts, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
                                      self.getOrDefault("maxIter"), tol_abs, weight_col="weight")
         finally:

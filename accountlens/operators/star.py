@@ -16,7 +16,7 @@ FACT_COLUMNS = {"interaction_id": "string", "employer_id": "string", "consultant
 
 def segment_dimension_expr_rows():
     """The fixed segment rows (segment_id, segment_name, priority, color_hex, recommended_action)."""
-    return [(s[0], s[1], s[3], s[2], s[5]) for s in C.SEGMENTS]
+    return [(s[0], s[1], s[3], s[2], s[4]) for s in C.SEGMENTS]
 
 
 def segment_dimension(segmented: DataFrame) -> DataFrame:
@@ -58,19 +58,37 @@ def interaction_fact(interactions: DataFrame) -> DataFrame:
     return interactions.select(*cols)
 
 
+#: Segment attributes by segment name (position in a row of ``segment_dimension_expr_rows``, type).
+SEGMENT_ATTRS = {"segment_id": (0, "int"), "priority": (2, "int"), "color_hex": (3, "string"),
+                 "recommended_action": (4, "string")}
+
+
+def _segment_attr(name: str):
+    pos, typ = SEGMENT_ATTRS[name]
+    by_name = F.create_map(*[x for r in segment_dimension_expr_rows() for x in (F.lit(r[1]), F.lit(r[pos]))])
+    return F.try_element_at(by_name, F.col("segment_name")).cast(typ).alias(name)
+
+
 def star_join(fact: DataFrame, dim_employer: DataFrame, group_by=("segment_name",),
               date_attrs=("year",)) -> DataFrame:
-    """DIM5: interactions counted by employer / segment / date attributes.
+    """DIM5: interactions counted by attributes of the employer, segment and date dimensions.
 
-    The fact is pre-aggregated per (employer, day) before it meets the employer
-    dimension, so a hot employer contributes one row per day to the join; date
-    attributes are derived from the date key (no date table join needed).
+    ``group_by`` takes columns of ``dim_employer`` and the segment attributes (segment_id, priority, color_hex,
+    recommended_action), ``date_attrs`` the columns of the date dimension. The fact is pre-aggregated per
+    (employer, day) before it meets the employer dimension, so a hot employer contributes one row per day to the
+    join; segment and date attributes are derived from their keys (no table to join).
     """
     per_day = fact.groupBy("employer_id", F.col("interaction_date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
     date_exprs = {"year": F.year("date"), "quarter": F.quarter("date"), "month": F.month("date"),
-                  "month_start": F.trunc("date", "month"), "date": F.col("date")}
-    dims = [c for c in group_by if c != "employer_id"]
-    joined = per_day.join(dim_employer.select("employer_id", *dims), "employer_id", "left")
-    keys = [F.col(c) for c in dims] + [date_exprs[a].alias(a) for a in date_attrs]
+                  "month_start": F.trunc("date", "month").cast("date"), "month_end": F.last_day("date"),
+                  "day_of_week": F.dayofweek("date"), "date": F.col("date")}
+    derived = [c for c in group_by if c not in dim_employer.columns]
+    unknown = [c for c in derived if c not in SEGMENT_ATTRS] + [a for a in date_attrs if a not in date_exprs]
+    if unknown:
+        raise ValueError(f"no dimension has columns {unknown}")
+    stored = list(dict.fromkeys([c for c in group_by if c in dim_employer.columns and c != "employer_id"]
+                                + (["segment_name"] if derived else [])))
+    joined = per_day.join(dim_employer.select("employer_id", *stored), "employer_id", "left")
+    keys = [_segment_attr(c) if c in derived else F.col(c) for c in group_by] + [date_exprs[a].alias(a) for a in date_attrs]
     return joined.groupBy(*keys).agg(F.sum("n").cast("long").alias("interactions"),
                                      F.count_distinct("employer_id").cast("long").alias("employers"))

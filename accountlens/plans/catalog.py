@@ -26,6 +26,7 @@ from accountlens.operators.privacy import Pseudonymizer, redact_column
 from accountlens.operators.profiles import segment_profile_report, segment_profiles
 from accountlens.functions.expressions import in_months_window, safe_divide, whole_days_since
 from accountlens.plans import sqlparts as S
+from accountlens.session import materialize
 from accountlens.sources import testdata as td
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,6 +213,49 @@ def seg12_km(spark, sf):
     return seg.segment_sizes(seg.fit_transform(_emp(spark, sf), AS_OF, nullPolicy="keep"))
 
 
+# K-Means from given centres and a given number of steps: the same fit, scoring, ranking and profile, in plain SQL too
+START_CENTRES = ((0.2, 0.1, 0.2), (0.9, 0.1, 0.2), (0.9, 0.4, 0.8), (0.6, 0.6, 0.4))
+LLOYD_STEPS = 4
+_KMEANS_SQL = S.with_base(*S.kmeans_ctes(START_CENTRES, LLOYD_STEPS))
+_FIXED_FIT = dict(startCentres=[list(c) for c in START_CENTRES], maxIter=LLOYD_STEPS, tol=0.0, nullPolicy="keep")
+
+
+def _lloyd_segmented(spark, sf) -> DataFrame:
+    return seg.fit_transform(_emp(spark, sf), AS_OF, **_FIXED_FIT)
+
+
+@q("seg7_kmeans_given_start", _KMEANS_SQL + "SELECT employer_id, cluster FROM segmented")
+def seg7_given(spark, sf):
+    return _lloyd_segmented(spark, sf).select("employer_id", "cluster")
+
+
+@q("seg11_given_start", _KMEANS_SQL + "SELECT employer_id, rfm_score, cluster, segment_id, segment_name, segment_priority, "
+   "segment_action, priority_score FROM segmented")
+def seg11_given(spark, sf):
+    return _lloyd_segmented(spark, sf).select("employer_id", "rfm_score", "cluster", "segment_id", "segment_name",
+                                              "segment_priority", "segment_action", "priority_score")
+
+
+@q("seg12_given_start_sizes", _KMEANS_SQL + "SELECT segment_name, CAST(count(*) AS BIGINT) AS count FROM segmented "
+   "GROUP BY segment_name")
+def seg12_given(spark, sf):
+    return seg.segment_sizes(_lloyd_segmented(spark, sf))
+
+
+@q("seg7_kmeans_converged", S.with_base() + "SELECT CAST(count(*) AS BIGINT) AS employers, CAST(4 AS BIGINT) AS clusters, "
+   "CAST(0 AS BIGINT) AS centres_off_mean FROM employers WHERE last_contact_date IS NOT NULL")
+def seg7_converged(spark, sf):
+    """The 20-restart fit ends where Lloyd stands still: every centre is the mean of its rows (within 0.01 a score)."""
+    emp = materialize(_emp(spark, sf))
+    model = seg.RFMSegmenter(asOf=str(AS_OF), nullPolicy="keep").fit(emp)
+    means = (model.transform(emp).where("cluster IS NOT NULL").groupBy("cluster")
+             .agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in seg.SCORE_COLS]))
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centres])
+    off = F.greatest(*[F.abs(F.col(c) - centres[F.col("cluster")][i]) for i, c in enumerate(seg.SCORE_COLS)])
+    return means.agg(F.sum("n").alias("employers"), F.count(F.lit(1)).alias("clusters"),
+                     F.count_if(off > 0.01).alias("centres_off_mean"))
+
+
 # ---------------------------------------------------------------------------
 # 2.7 profiles
 # ---------------------------------------------------------------------------
@@ -234,6 +278,14 @@ def prf2(spark, sf):
     return segment_profile_report(_fixed_segmented(spark, sf))
 
 
+_PRF2_SELECT = ORACLE["prf2_segment_report"][len(S.with_base(*S.segmented_ctes())):]
+
+
+@q("prf2_given_start_segment_report", _KMEANS_SQL + _PRF2_SELECT)
+def prf2_given(spark, sf):
+    return segment_profile_report(_lloyd_segmented(spark, sf))
+
+
 @q("prf2_kmeans_segment_report")
 def prf2_km(spark, sf):
     return segment_profile_report(seg.fit_transform(_emp(spark, sf), AS_OF, nullPolicy="keep"))
@@ -459,8 +511,12 @@ def _dq_sql(table: str, checks, dataset: str, present: list[str], doubles=(), pa
     for chk in checks:
         c = chk.column
         if c is not None and c not in present:
-            name, passed, details, sev = dq._missing_column_row(chk)
-            row(name, "true" if passed else "false", S._q(details), sev, 0)
+            if chk.kind in ("no_nulls", "missing_rate"):
+                row(f"column_exists:{c}", "false", f"'column ''{c}'' is missing'", "error", 0)
+            elif chk.kind == "value_set":
+                row(f"value_set:{c}", "false", f"'column ''{c}'' is missing'", "error", 0)
+            else:
+                row(f"{chk.kind}:{c}", "true", "'column not present'", chk.severity, 0)
             continue
         k = chk.kind
         if k in ("no_nulls", "missing_rate"):
@@ -576,10 +632,18 @@ def dq11(spark, sf):
 @q("dq12_quality_gate", f"WITH {_BOTH_REPORTS}, summary AS ({_SUMMARY_SQL}) SELECT dataset_name, passed, "
    "CASE WHEN passed THEN 'continue' WHEN dataset_name = 'Employers' THEN 'stop' ELSE 'warn' END AS action FROM summary")
 def dq12(spark, sf):
-    s = dq.report_summary(_both_reports(spark, sf))
-    return s.select("dataset_name", "passed",
-                    F.when(F.col("passed"), "continue").when(F.col("dataset_name") == "Employers", "stop")
-                    .otherwise("warn").alias("action"))
+    """Each report through the gate: an employer failure stops a run, an interaction failure is a warning."""
+    reports = {"Employers": dq.validate_employers(_dirty_emp(spark, sf), AS_OF),
+               "Interactions": dq.validate_interactions(_dirty_int(spark, sf), AS_OF, td.employers_raw(spark, sf))}
+    rows = []
+    for name, frame in reports.items():
+        report, action = dq.ValidationReport.collect(frame), "continue"
+        try:
+            dq.gate(report)
+        except dq.DataQualityError:
+            action = "stop" if name == "Employers" else "warn"
+        rows.append((name, report.passed, action))
+    return spark.createDataFrame(rows, "dataset_name string, passed boolean, action string")
 
 
 # ---------------------------------------------------------------------------
@@ -618,17 +682,13 @@ def m2_global(spark, sf):
     return ms.avg_interactions_per_employer(_inter(spark, sf), td.employers_raw(spark, sf))
 
 
-@q("m3_total_revenue_potential", S.with_base() + "SELECT sector, sum(revenue_potential) AS total_revenue_potential "
-   "FROM employers_raw GROUP BY sector")
+@q("m3_total_revenue_potential", S.with_base() + f"SELECT sector, {S.rne('sum(revenue_potential)', 2)} AS "
+   "total_revenue_potential FROM employers_raw GROUP BY sector")
 def m3(spark, sf):
     return ms.total_revenue_potential(td.employers_raw(spark, sf), by=["sector"]).withColumn(
         "total_revenue_potential", seg.round_half_even(F.col("total_revenue_potential"), 2))
 
 
-ORACLE["m3_total_revenue_potential"] = (S.with_base() + "SELECT sector, "
-                                        f"{S.rne('sum(revenue_potential)', 2)} AS total_revenue_potential "
-                                        "FROM employers_raw GROUP BY sector")
-
 _CHURN_PER = (f"per AS (SELECT employer_id, max(interaction_date) AS last_d, count(*) FILTER (WHERE interaction_date > "
               f"{S.ASOF} - INTERVAL 12 MONTH AND interaction_date <= {S.ASOF}) AS f FROM interactions GROUP BY employer_id)")
 _CHURN_SCORE = ("round((CASE WHEN p.last_d IS NULL THEN 1.0::DOUBLE ELSE least(CAST(date_diff('day', p.last_d, "
@@ -850,6 +910,20 @@ def dim5(spark, sf):
     return star.star_join(fact, star.employer_dimension(_fixed_segmented(spark, sf)), ("segment_name",), ("year",))
 
 
+_COLOR_SQL = "CASE s.segment_id " + " ".join(f"WHEN {x[0]} THEN {S._q(x[2])}" for x in C.SEGMENTS) + " END"
+
+
+@q("dim5_star_join_by_segment_and_weekday", S.with_base(*S.segmented_ctes()) +
+   f"SELECT {_COLOR_SQL} AS color_hex, s.segment_priority AS priority, s.segment_action AS recommended_action, s.sector, "
+   "CAST(dayofweek(i.interaction_date) + 1 AS INTEGER) AS day_of_week, last_day(i.interaction_date) AS month_end, "
+   "CAST(count(*) AS BIGINT) AS interactions, CAST(count(DISTINCT i.employer_id) AS BIGINT) AS employers "
+   "FROM interactions i LEFT JOIN segmented s ON i.employer_id = s.employer_id GROUP BY 1, 2, 3, 4, 5, 6")
+def dim5_all(spark, sf):
+    fact = star.interaction_fact(_inter(spark, sf))
+    return star.star_join(fact, star.employer_dimension(_fixed_segmented(spark, sf)),
+                          ("color_hex", "priority", "recommended_action", "sector"), ("day_of_week", "month_end"))
+
+
 # ---------------------------------------------------------------------------
 # 2.10 retention, incremental ingest, row-level security
 # ---------------------------------------------------------------------------
@@ -1065,6 +1139,35 @@ def aud2(spark, sf):
     return file_checksums(spark, f"{sf.rstrip('/')}/*.parquet")
 
 
+@q("aud2_checksum_of_written_files", "SELECT c_nationkey, md5(string_agg(c_custkey || ',' || c_name, chr(10) ORDER BY c_custkey) "
+   "|| chr(10)) AS checksum FROM customer GROUP BY c_nationkey")
+def aud2_written(spark, sf):
+    """One CSV file for each nation; every other one is streamed, as files too large for one value are."""
+    from accountlens.sources.audit import file_checksums
+    path = _scratch(spark, "nations")
+    (spark.read.parquet(f"{sf.rstrip('/')}/customer.parquet").select("c_nationkey", "c_custkey", "c_name")
+     .repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+     .write.partitionBy("c_nationkey").csv(path))
+    files = path + "/*/*.csv"
+    median = file_checksums(spark, files).agg(F.percentile("length", 0.5)).first()[0]
+    return file_checksums(spark, files, whole_file_bytes=int(median or 0)).select(
+        F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int").alias("c_nationkey"), "checksum")
+
+
+_RUN_SOURCE = f"priced AS (SELECT e.*, {_revenue_sql()} AS revenue_potential FROM employers e)"
+
+
+@q("batch_run", S.with_base(_RUN_SOURCE, *S.kmeans_ctes(START_CENTRES, LLOYD_STEPS, "priced"), with_revenue=False) +
+   f"SELECT employer_id, {_pseudo_sql('company_name')} AS company_name, segment_name, priority_score FROM segmented")
+def batch_run(spark, sf):
+    """The end-to-end run (load, checks, gate, segments, profiles, audit) and the table that it writes."""
+    from accountlens.plans.batch import run_pipeline
+    _, raw_dir = _loader_employers(spark, sf, with_interactions=True)
+    done = run_pipeline(spark, raw_dir, _scratch(spark, "processed"), AS_OF, salt=FIXED_SALT, run_date=AS_OF,
+                        segmenter_params=_FIXED_FIT)
+    return spark.read.parquet(done["segmented"]).select("employer_id", "company_name", "segment_name", "priority_score")
+
+
 @q("snk3_audit_sink", _AUDIT_SQL)
 def snk3(spark, sf):
     loader = _audited_loader(spark, sf)

@@ -86,10 +86,30 @@ def segmented_ctes(source: str = "employers") -> list[str]:
         "AS segment_id FROM clustered WHERE cluster IS NOT NULL GROUP BY cluster)",
         "segmented0 AS (SELECT c.*, k.segment_id FROM clustered c LEFT JOIN ranks k ON c.cluster = k.cluster)",
         f"segmented AS (SELECT *, {segment_case(1)} AS segment_name, CAST({segment_case(3)} AS INTEGER) AS segment_priority, "
-        f"{segment_case(5)} AS segment_action, {priority_sql()} AS priority_score FROM segmented0)",
+        f"{segment_case(4)} AS segment_action, {priority_sql()} AS priority_score FROM segmented0)",
     ]
 
 
+def kmeans_ctes(start, steps: int, source: str = "employers") -> list[str]:
+    """Segments from ``steps`` unrolled Lloyd steps from the centres ``start`` (ctes ... clustered, ranks, segmented)."""
+    rows = ", ".join(f"({k}, {', '.join(dbl(x) for x in c)})" for k, c in enumerate(start))
+    ctes = rfm_ctes(source) + [
+        "points AS (SELECT employer_id, r_score, f_score, m_score FROM scored WHERE recency_days IS NOT NULL "
+        "AND frequency_12m IS NOT NULL AND revenue_potential IS NOT NULL AND NOT isnan(revenue_potential))",
+        f"centres0 AS (SELECT * FROM (VALUES {rows}) t(k, r, f, m))"]
+    distance = " + ".join(f"(p.{c}_score - c.{c}) * (p.{c}_score - c.{c})" for c in "rfm")
+    for i in range(steps + 1):
+        ctes.append(f"nearest{i} AS (SELECT p.*, c.k FROM points p, centres{i} c QUALIFY row_number() OVER "
+                    f"(PARTITION BY p.employer_id ORDER BY {distance}, c.k) = 1)")
+        if i < steps:
+            ctes.append(f"centres{i + 1} AS (SELECT c.k, " + ", ".join(
+                f"coalesce(avg(n.{x}_score), any_value(c.{x})) AS {x}" for x in "rfm")
+                + f" FROM centres{i} c LEFT JOIN nearest{i} n ON n.k = c.k GROUP BY c.k)")
+    ctes.append(f"clustered AS (SELECT s.*, CAST(n.k AS INTEGER) AS cluster FROM scored s LEFT JOIN nearest{steps} n "
+                "ON s.employer_id = n.employer_id)")
+    return ctes + segmented_ctes(source)[5:]
+
+
 def dirty_employers_cte(source: str = "employers") -> str:
     """Injected faults, keyed on the customer key (identical to the Spark form)."""
     k = "CAST(employer_id AS BIGINT)"

@@ -48,7 +48,7 @@ class DataLoader:
         return out
 
     def load_interactions(self, filename: str = "interactions.csv") -> DataFrame:
-        """SRC5: scan, contract CON2, pseudonymise PII2 (the reference skips it; documented PII policy wins), audit."""
+        """SRC5: scan, contract CON2, pseudonymise PII2 (documented PII policy), audit."""
         path = f"{self.raw_dir}/{filename}"
         out, n = self._checked(load_file(self.spark, path), INTERACTION_CONTRACT,
                               self.pseudonymizer.pseudonymize_interactions)

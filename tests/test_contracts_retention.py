@@ -84,3 +84,20 @@ def test_star(spark):
     rows = {(r["segment_name"], r["year"]): (r["interactions"], r["employers"])
             for r in star.star_join(fact, star.employer_dimension(seg)).collect()}
     assert rows == {("Champions", 2024): (2, 1), ("Lost", 2025): (1, 1)}
+
+
+def test_star_join_over_segment_and_date_attributes(spark):
+    import datetime as dt
+
+    import pytest
+
+    from accountlens.operators import star
+    fact = spark.createDataFrame([("i1", "e1", dt.date(2025, 6, 1)), ("i2", "e1", dt.date(2025, 6, 1)), ("i3", None, None)],
+                                 "interaction_id string, employer_id string, interaction_date date")
+    dim = spark.createDataFrame([("e1", "Champions", "retail")], "employer_id string, segment_name string, sector string")
+    out = star.star_join(fact, dim, ("color_hex", "segment_id", "sector"), ("day_of_week", "month_end"))
+    assert {tuple(r) for r in out.collect()} == {("#22c55e", 0, "retail", 1, dt.date(2025, 6, 30), 2, 1),
+                                                 (None, None, None, None, None, 1, 0)}
+    for group_by, dates in ((("shoe_size",), ("year",)), (("sector",), ("moon",))):
+        with pytest.raises(ValueError, match="no dimension"):
+            star.star_join(fact, dim, group_by, dates)

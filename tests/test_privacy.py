@@ -1,4 +1,4 @@
-"""Pseudonymisation (PII1-PII5), modelled on the reference's anonymizer tests (F8)."""
+"""Pseudonymisation (PII1-PII5)."""
 
 import hashlib
 

@@ -270,6 +270,20 @@ def test_repeated_fits_are_equal_bit_for_bit(sample_employers):
     assert fits[0].centres == fits[1].centres and fits[0].rank_map == fits[1].rank_map
 
 
+def test_given_starting_centres(spark, sample_employers):
+    start = [[0.2, 0.1, 0.2], [0.9, 0.1, 0.2], [0.9, 0.4, 0.8], [0.6, 0.6, 0.4]]
+    model = seg.RFMSegmenter(asOf=str(AS_OF), startCentres=start, maxIter=3, tol=0.0).fit(sample_employers)
+    scored = seg.normalize_rfm(seg.compute_rfm(sample_employers, AS_OF)).toPandas()
+    X, centres = scored[seg.SCORE_COLS].to_numpy(), np.array(start)
+    for _ in range(3):
+        near = np.argmin(((X[:, None, :] - centres[None]) ** 2).sum(-1), axis=1)
+        centres = np.array([X[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(4)])
+    assert np.allclose(model.centres, centres, atol=1e-9)
+    for bad in (dict(startCentres=start[:3]), dict(startCentres=[[0.0]] * 4), dict(startCentres=start, solver="mllib")):
+        with pytest.raises(ValueError):
+            seg.RFMSegmenter(asOf=str(AS_OF), **bad).fit(sample_employers)
+
+
 def test_fit_from_another_working_directory(tmp_path):
     """Python workers do not need the package on their path (the solver's code is shipped by value)."""
     import os
