@@ -45,6 +45,7 @@ def file_checksums(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE
     """AUD2: MD5 of the bytes of every file under ``path`` (path, checksum, length), computed on executors.
 
     Files over ``whole_file_bytes`` are streamed by Arrow's file systems (local, HDFS, S3, GCS), of any size.
+    Spark's scans skip files of no bytes, so those have no row; ``checksum`` of such a file is the MD5 of no bytes.
     """
     files = spark.read.format("binaryFile").load(path)
     whole = (files.where(F.col("length") <= whole_file_bytes)
