@@ -36,6 +36,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, key: str = "intera
         batch = batch.select(key, "row.*").select(*incoming.columns)
     if existing is None:
         return batch
+    batch = materialize(batch)  # used twice below: the incoming rows are read and compared once
     seen = existing.select(key).join(batch.select(key), key, "left_semi").distinct()
     return batch.join(seen, key, "left_anti")
 
