@@ -1,32 +1,38 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Rows of each source, in seeded random order, are cut into blocks. With whole-number shares a_i of A slots, block j
-of source i is released at slot floor(j * A / a_i) and due before slot ceil((j + 1) * A / a_i). Serving the released
-block with the earliest deadline meets every deadline on one line of slots, which keeps each source within less than
-one block of its target at every prefix. The schedule repeats after A slots, so one period (bounded by the share
-resolution, not by the data) gives the slot of every block by arithmetic, and Spark places all rows with two joins
-on small tables. When a source runs out, a new phase starts with the shares of the remaining ones: every row gets
-a slot, and phase 0 is the longest prefix in which the target weights hold.
+Rows of each source, in seeded random order, are cut into blocks, and every block gets a slot. Source i with weight
+w_i and b_i blocks has the fluid share min(b_i, w_i v) at level v; all sources together fill T(v) = sum of these
+slots. Block j of source i is released at slot floor(T(j / w_i)) and due before slot ceil(T((j + 1) / w_i)). No more
+windows lie between two slots than there are slots, so serving the released block with the earliest deadline meets
+every deadline on one line of slots, which keeps each source within less than one block of its fluid share at every
+prefix. Weights are taken as they are: T is computed in whole numbers from the exact value of each weight, so the bound
+holds at any number of rows. Until the first source runs out (phase 0) the shares are the target weights; after that
+(a new phase) those of the remaining sources. The driver keeps one entry a block; Spark joins the rows to them.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accountlens.llm.common import RANK_BUCKET_ROWS, free_name, ranked, shuffle_key, stratum, table
 
 SEED = 8
-#: Rows of a block, slots of a period (share resolution), and the exponent that flattens source sizes to weights.
+#: Rows of a block, slots of a period of rounded shares, and the exponent that flattens source sizes to weights.
 BLOCK_ROWS = 64
 RESOLUTION = 1000
 TEMPERATURE = 0.7
 #: Sources that get a share of their own; rows of all others form one further source.
 MAX_SOURCES = 500
-#: Rows of a schedule table up to which it is broadcast (three integers and a key a row).
+#: Blocks up to which the schedule is broadcast (three integers and a key a row).
 BROADCAST_ROWS = 200_000
 POOL = "pool"
 
@@ -38,52 +44,86 @@ def shares(weights: Mapping[str, float], resolution: int = RESOLUTION) -> dict[s
 
 
 def period(share: Mapping[str, int]) -> list[str]:
-    """The source served in each slot of one period: earliest deadline first among released blocks."""
-    slots = sum(share.values())
-    release = lambda k, j: j * slots // share[k]
-    due = lambda k, j: -(-(j + 1) * slots // share[k])
-    waiting = [(0, k, 0) for k in share]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    served = []
-    for t in range(slots):
+    """The source served in each slot of one period of whole-number shares."""
+    return [k for k, _, _ in schedule(share, share)]
+
+
+def _fluid(blocks: list[int], weights: list[float]) -> tuple[list[int], list[float], list[int], list[int], list[int]]:
+    """The weights as whole numbers in the same proportion, and T(v) as the least of its linear pieces: the levels where
+    they end, their values at 0, their slopes, and the slots filled where they end."""
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact))
+    whole = [int(w * scale) for w in exact]
+    ends: dict[Fraction, list[int]] = {}
+    for b, w in zip(blocks, whole):
+        end = ends.setdefault(Fraction(b, w), [0, 0])
+        end[0] += b
+        end[1] += w
+    levels, bases, slopes, filled, base, slope = [], [], [], [], 0, sum(whole)
+    for v in sorted(ends):
+        levels.append(float(v * max(whole)))
+        bases.append(base)
+        slopes.append(slope)
+        filled.append(base + slope * v.numerator // v.denominator)
+        base += ends[v][0]
+        slope -= ends[v][1]
+    return whole, levels, bases, slopes, filled
+
+
+def schedule(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, phase) of every slot in order: earliest deadline first among released blocks. ``blocks``: blocks of
+    each source; ``weights``: positive numbers."""
+    names = sorted(k for k, n in blocks.items() if n)
+    if not names:
+        return
+    have = [blocks[k] for k in names]
+    whole, levels, bases, slopes, filled = _fluid(have, [weights[k] for k in names])
+    most, last = max(whole), len(levels) - 1
+
+    def reached(i: int, j: int) -> tuple[int, int]:
+        """floor and ceil of T(j / w_i)"""
+        w = whole[i]
+        at = bisect_left(levels, j * most / w)
+        # T is concave, so it is the least of its pieces; the neighbours make up for the rounded levels
+        pieces = [(bases[k] * w + slopes[k] * j) for k in range(max(at - 1, 0), min(at + 1, last) + 1)]
+        low, over = divmod(min(pieces), w)
+        return low, low + (over > 0)
+
+    waiting = [(0, i, 0) for i in range(len(names))]
+    ready: list[tuple[int, int, int, int]] = []
+    phase = 0
+    for t in range(sum(have)):
         while waiting and waiting[0][0] <= t:
-            _, k, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(k, j), k, j))
-        _, k, j = heapq.heappop(ready)
-        served.append(k)
-        if j + 1 < share[k]:
-            heapq.heappush(waiting, (release(k, j + 1), k, j + 1))
-    return served
-
-
-def schedule(blocks: Mapping[str, int], share: Mapping[str, int]) -> tuple[list[tuple], list[tuple]]:
-    """Phases (phase, source, first block, end block, first slot, share, slots of a period) and their period patterns
-    (phase, source, k, slot in the period). ``blocks``: blocks of each source."""
-    left, taken, start = {k: n for k, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
-    phases, patterns, number = [], [], 0
-    while left:
-        active = {k: share[k] for k in sorted(left)}
-        served = period(active)
-        slots, at = len(served), {k: [] for k in active}
-        for t, k in enumerate(served):
-            at[k].append(t)
-        # the phase ends where a source would need a block that it does not have
-        end = min(left[k] // a * slots + at[k][left[k] % a] for k, a in active.items())
-        for k, a in active.items():
-            used = end // slots * a + sum(t < end % slots for t in at[k])
-            phases.append((number, k, taken[k], taken[k] + used, start, a, slots))
-            patterns += [(number, k, j, t) for j, t in enumerate(at[k])]
-            taken[k] += used
-            left[k] -= used
-        left = {k: n for k, n in left.items() if n}
-        start += end
-        number += 1
-    return phases, patterns
-
-
-def _small(rows: DataFrame, count: int) -> DataFrame:
-    return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
+            _, i, j = heapq.heappop(waiting)
+            free, due = reached(i, j + 1)
+            heapq.heappush(ready, (due, i, j, free))
+        while phase < last and filled[phase] <= t:
+            phase += 1
+        _, i, j, free = heapq.heappop(ready)
+        yield names[i], j, phase
+        if j + 1 < have[i]:
+            heapq.heappush(waiting, (free, i, j + 1))
+
+
+def _timetable(spark: SparkSession, sizes: Mapping[str, int], weights: Mapping[str, float], block_rows: int,
+               source_name: str, block_name: str) -> DataFrame:
+    """One row a block: source, block, phase and slot."""
+    blocks = {k: -(-n // block_rows) for k, n in sizes.items()}
+    number = {k: i for i, k in enumerate(sizes)}
+    source, block, phases = array("i"), array("q"), array("i")
+    for k, j, phase in schedule(blocks, weights):
+        source.append(number[k])
+        block.append(j)
+        phases.append(phase)
+    count = len(block)
+    columns = {source_name: pa.array(list(sizes), pa.string()).take(pa.array(source, pa.int32())),
+               block_name: pa.array(block, pa.int64()), "phase": pa.array(phases, pa.int32()),
+               "slot": pa.array(range(count), pa.int64())}
+    types = f"`{source_name}` string, `{block_name}` long, phase int, slot long"
+    if not count:
+        return spark.createDataFrame([], types)
+    times = spark.createDataFrame(pa.table(columns), types)
+    return F.broadcast(times) if count <= BROADCAST_ROWS else times
 
 
 def source_sizes(rows: DataFrame, source_col: str = "source", limit: int = MAX_SOURCES) -> dict[str, int]:
@@ -100,7 +140,7 @@ def temperature_weights(sizes: Mapping[str, int], exponent: float = TEMPERATURE)
 
 
 def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS,
-        resolution: int = RESOLUTION, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
+        seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
         bucket_rows: int = RANK_BUCKET_ROWS) -> DataFrame:
     """Append ``phase``, ``slot`` (of the row's block, over all sources) and ``in_block`` (its place in the block).
 
@@ -120,9 +160,6 @@ def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
         pooled = rows.groupBy(F.when(named.isin(*target), named).otherwise(F.lit(POOL)).alias("stratum"))
         sizes = {r["stratum"]: r["n"] for r in pooled.agg(F.count(F.lit(1)).alias("n")).collect()}  # <= len(weights) + 1
         target.setdefault(POOL, min(target.values()))
-    share = shares({k: target[k] for k in sizes}, resolution) if sizes else {}
-    phases, patterns = schedule({k: -(-n // block_rows) for k, n in sizes.items()}, share)
-
     names = {n: free_name(rows, n) for n in ("__source", "__key", "__tie", "__rank", "__size", "__block")}
     source, block = names["__source"], names["__block"]
     known = stratum(F.col(source_col))
@@ -133,17 +170,8 @@ def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
                     sum(sizes.values()), bucket_rows)
     placed = (placed.withColumn(block, F.expr(f"`{names['__rank']}` div {block_rows}"))
               .withColumn("in_block", F.expr(f"`{names['__rank']}` % {block_rows}").cast("int")))
-    spark = rows.sparkSession
-    spans = spark.createDataFrame(phases, f"phase int, `{source}` string, __from long, __to long, __start long, "
-                                          "__share long, __slots long")
-    times = spark.createDataFrame(patterns, f"phase int, `{source}` string, __k long, __at long")
-    timed = (placed.join(_small(spans, len(phases)), source)
-             .where((F.col(block) >= F.col("__from")) & (F.col(block) < F.col("__to")))
-             .withColumn("__nth", F.col(block) - F.col("__from"))
-             .withColumn("__k", F.expr("__nth % __share")))
-    return (timed.join(_small(times, len(patterns)), ["phase", source, "__k"])
-            .withColumn("slot", F.expr("__start + (__nth div __share) * __slots + __at"))
-            .select(*rows.columns, "phase", "slot", "in_block"))
+    times = _timetable(rows.sparkSession, sizes, target, block_rows, source, block)
+    return placed.join(times, [source, block]).select(*rows.columns, "phase", "slot", "in_block")
 
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

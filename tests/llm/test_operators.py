@@ -410,6 +410,34 @@ def test_mix_of_a_table(docs, weights):
                 assert abs(sum(o[1] == k for o in order[:t]) - part) < 1
 
 
+def fluid(blocks, weights, slots):
+    """The blocks of each source that unrounded weights fill in so many slots."""
+    low, high = 0.0, max(b / w for b, w in zip(blocks, weights))
+    for _ in range(200):
+        v = (low + high) / 2
+        low, high = (v, high) if sum(min(b, w * v) for b, w in zip(blocks, weights)) < slots else (low, v)
+    return [min(b, w * high) for b, w in zip(blocks, weights)]
+
+
+@pytest.mark.parametrize("n", [10_000, 3_000_000])
+@pytest.mark.parametrize("parts", [[1 / k for k in range(1, 21)], [9.5] + [1.0] * 19, [1 / k for k in range(1, 401)]])
+def test_schedule_stays_within_one_block_of_unrounded_weights(n, parts):
+    sizes = {f"s{k:03}": max(1, int(n * p / sum(parts))) for k, p in enumerate(parts)}
+    weights = {k: m ** 0.7 for k, m in sizes.items()}
+    blocks = {k: -(-m // 64) for k, m in sizes.items()}
+    served, total = Counter(), sum(weights.values())
+    for t, (k, j, phase) in enumerate(mixing.schedule(blocks, weights)):
+        part = weights[k] / total
+        assert j == served[k]
+        if not phase:  # a source is furthest behind before it is served, and furthest ahead after
+            assert t * part - j < 1 + 1e-6 and j + 1 - (t + 1) * part < 1 + 1e-6
+        served[k] += 1
+        if t % max(1, sum(blocks.values()) // 50) == 0:
+            reached = fluid(list(blocks.values()), list(weights.values()), t + 1)
+            assert all(abs(served[s] - x) < 1 + 1e-6 for s, x in zip(blocks, reached))
+    assert served == Counter(blocks)
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix(empty).count() == 0
 
