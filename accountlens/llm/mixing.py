@@ -30,8 +30,6 @@ SEED = 8
 BLOCK_ROWS = 64
 RESOLUTION = 1000
 TEMPERATURE = 0.7
-#: Sources that get a share of their own; rows of all others form one further source.
-MAX_SOURCES = 500
 #: Blocks up to which the schedule is broadcast (three integers and a key a row).
 BROADCAST_ROWS = 200_000
 POOL = "pool"
@@ -126,9 +124,11 @@ def _timetable(spark: SparkSession, sizes: Mapping[str, int], weights: Mapping[s
     return F.broadcast(times) if count <= BROADCAST_ROWS else times
 
 
-def source_sizes(rows: DataFrame, source_col: str = "source", limit: int = MAX_SOURCES) -> dict[str, int]:
-    """Rows of each of the ``limit`` largest sources; all further rows count as the source ``pool``."""
+def source_sizes(rows: DataFrame, source_col: str = "source", limit: int | None = None) -> dict[str, int]:
+    """Rows of each source; with a limit, rows beyond the ``limit`` largest sources count as the source ``pool``."""
     sizes = rows.groupBy(stratum(F.col(source_col)).alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
+    if limit is None:
+        return {r["stratum"]: r["n"] for r in sizes.collect()}
     top = {r["stratum"]: r["n"] for r in sizes.orderBy(F.desc("n"), "stratum").limit(limit).collect()}
     rest = (sizes.agg(F.sum("n")).first()[0] or 0) - sum(top.values())
     return top | ({POOL: rest} if rest else {})
@@ -147,24 +147,25 @@ def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
     Sorted by (slot, in_block), the rows of phase 0 keep every source within less than one block of its target
     weight; later phases do so among the sources that are left. ``weights`` maps sources (None for null) to positive
     numbers; a source that it does not name is part of one pooled source with the smallest named weight. Without
-    weights, ``temperature_weights`` of the source sizes hold. No row is dropped or repeated. All columns are
-    kept; input columns with one of the three names are replaced. An empty table gives an empty result.
+    weights, ``temperature_weights`` of the source sizes hold, however many sources there are. No row is dropped or
+    repeated. All columns are kept; input columns with one of the three names are replaced. An empty table gives an
+    empty result.
     """
     rows = rows.drop("phase", "slot", "in_block")
+    named = stratum(F.col(source_col))
     if weights is None:
         sizes = source_sizes(rows, source_col)
         target = temperature_weights(sizes)
     else:
         target = {"null" if k is None else f"={k}": w for k, w in weights.items()}
-        named = stratum(F.col(source_col))
-        pooled = rows.groupBy(F.when(named.isin(*target), named).otherwise(F.lit(POOL)).alias("stratum"))
+        named = F.when(named.isin(*target), named).otherwise(F.lit(POOL))
+        pooled = rows.groupBy(named.alias("stratum"))
         sizes = {r["stratum"]: r["n"] for r in pooled.agg(F.count(F.lit(1)).alias("n")).collect()}  # <= len(weights) + 1
         target.setdefault(POOL, min(target.values()))
     names = {n: free_name(rows, n) for n in ("__source", "__key", "__tie", "__rank", "__size", "__block")}
     source, block = names["__source"], names["__block"]
-    known = stratum(F.col(source_col))
     keyed = (rows.withColumn(names["__tie"], F.xxhash64(*rows.columns))
-             .withColumn(source, F.when(known.isin(*[k for k in sizes if k != POOL]), known).otherwise(F.lit(POOL)))
+             .withColumn(source, named)
              .withColumn(names["__key"], shuffle_key(seed, F.col(id_col))))
     placed = ranked(keyed, source, names["__key"], [names["__tie"]], names["__rank"], names["__size"],
                     sum(sizes.values()), bucket_rows)

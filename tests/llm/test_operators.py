@@ -438,6 +438,22 @@ def test_schedule_stays_within_one_block_of_unrounded_weights(n, parts):
     assert served == Counter(blocks)
 
 
+def test_any_number_of_sources_keeps_its_own_weight(spark):
+    rows = spark.range(2_000).selectExpr("id as doc_id", "if(id < 700, id, 700 + id % 30) as source")
+    sizes = mixing.source_sizes(rows)
+    assert len(sizes) == 730 and mixing.POOL not in sizes
+    blocks = defaultdict(set)
+    for r in mixing.mix(rows, block_rows=1).collect():
+        blocks[f"={r['source']}"].add((r["slot"], r["phase"]))
+    total = sum(n ** mixing.TEMPERATURE for n in sizes.values())
+    assert sum(map(len, blocks.values())) == 2_000
+    for k, found in blocks.items():
+        slots = sorted(t for t, phase in found if phase == 0)
+        for j, t in enumerate(slots):
+            part = sizes[k] ** mixing.TEMPERATURE / total
+            assert t * part - j < 1 + 1e-6 and j + 1 - (t + 1) * part < 1 + 1e-6
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix(empty).count() == 0
 
