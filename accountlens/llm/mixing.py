@@ -104,20 +104,22 @@ def schedule(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterato
 
 
 def _timetable(spark: SparkSession, sizes: Mapping[str, int], weights: Mapping[str, float], block_rows: int,
-               source_name: str, block_name: str) -> DataFrame:
-    """One row a block: source, block, phase and slot."""
+               source_name: str, block_name: str, before_name: str) -> DataFrame:
+    """One row a block: source, block, phase, slot, and the rows of all earlier slots."""
     blocks = {k: -(-n // block_rows) for k, n in sizes.items()}
     number = {k: i for i, k in enumerate(sizes)}
-    source, block, phases = array("i"), array("q"), array("i")
+    source, block, phases, before, rows = array("i"), array("q"), array("i"), array("q"), 0
     for k, j, phase in schedule(blocks, weights):
         source.append(number[k])
         block.append(j)
         phases.append(phase)
+        before.append(rows)
+        rows += min(block_rows, sizes[k] - j * block_rows)
     count = len(block)
     columns = {source_name: pa.array(list(sizes), pa.string()).take(pa.array(source, pa.int32())),
                block_name: pa.array(block, pa.int64()), "phase": pa.array(phases, pa.int32()),
-               "slot": pa.array(range(count), pa.int64())}
-    types = f"`{source_name}` string, `{block_name}` long, phase int, slot long"
+               "slot": pa.array(range(count), pa.int64()), before_name: pa.array(before, pa.int64())}
+    types = f"`{source_name}` string, `{block_name}` long, phase int, slot long, `{before_name}` long"
     if not count:
         return spark.createDataFrame([], types)
     times = spark.createDataFrame(pa.table(columns), types)
@@ -141,17 +143,19 @@ def temperature_weights(sizes: Mapping[str, int], exponent: float = TEMPERATURE)
 
 def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS,
         seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
-        bucket_rows: int = RANK_BUCKET_ROWS) -> DataFrame:
-    """Append ``phase``, ``slot`` (of the row's block, over all sources) and ``in_block`` (its place in the block).
+        bucket_rows: int = RANK_BUCKET_ROWS, position_col: str | None = None) -> DataFrame:
+    """Append ``phase``, ``slot`` (of the row's block, over all sources) and ``in_block`` (its place in the block), and
+    under the name ``position_col``, if given, the row's place in the order by (slot, in_block): 0, 1, ... without gaps.
 
     Sorted by (slot, in_block), the rows of phase 0 keep every source within less than one block of its target
     weight; later phases do so among the sources that are left. ``weights`` maps sources (None for null) to positive
     numbers; a source that it does not name is part of one pooled source with the smallest named weight. Without
     weights, ``temperature_weights`` of the source sizes hold, however many sources there are. No row is dropped or
-    repeated. All columns are kept; input columns with one of the three names are replaced. An empty table gives an
+    repeated. All columns are kept; input columns with one of the names are replaced. An empty table gives an
     empty result.
     """
-    rows = rows.drop("phase", "slot", "in_block")
+    added = ["phase", "slot", "in_block"] + ([position_col] if position_col else [])
+    rows = rows.drop(*added)
     named = stratum(F.col(source_col))
     if weights is None:
         sizes = source_sizes(rows, source_col)
@@ -162,8 +166,8 @@ def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
         pooled = rows.groupBy(named.alias("stratum"))
         sizes = {r["stratum"]: r["n"] for r in pooled.agg(F.count(F.lit(1)).alias("n")).collect()}  # <= len(weights) + 1
         target.setdefault(POOL, min(target.values()))
-    names = {n: free_name(rows, n) for n in ("__source", "__key", "__tie", "__rank", "__size", "__block")}
-    source, block = names["__source"], names["__block"]
+    names = {n: free_name(rows, n) for n in ("__source", "__key", "__tie", "__rank", "__size", "__block", "__before")}
+    source, block, before = names["__source"], names["__block"], names["__before"]
     keyed = (rows.withColumn(names["__tie"], F.xxhash64(*rows.columns))
              .withColumn(source, named)
              .withColumn(names["__key"], shuffle_key(seed, F.col(id_col))))
@@ -171,8 +175,11 @@ def mix(rows: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
                     sum(sizes.values()), bucket_rows)
     placed = (placed.withColumn(block, F.expr(f"`{names['__rank']}` div {block_rows}"))
               .withColumn("in_block", F.expr(f"`{names['__rank']}` % {block_rows}").cast("int")))
-    times = _timetable(rows.sparkSession, sizes, target, block_rows, source, block)
-    return placed.join(times, [source, block]).select(*rows.columns, "phase", "slot", "in_block")
+    times = _timetable(rows.sparkSession, sizes, target, block_rows, source, block, before)
+    placed = placed.join(times, [source, block])
+    if position_col:
+        placed = placed.withColumn(position_col, F.col(before) + F.col("in_block"))
+    return placed.select(*rows.columns, *added)
 
 
 def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

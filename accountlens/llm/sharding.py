@@ -69,6 +69,16 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, id_co
             .drop("__position", "__before", *names.values()))
 
 
+def deal(rows: DataFrame, position_col: str, shards: int = SHARDS) -> DataFrame:
+    """Append ``shard`` and ``slot`` to rows that have an order: the row at position p (0, 1, ... without gaps) gets
+    shard p % shards and slot p div shards, so that the order is that by (slot, shard), every shard is in it, and shard
+    sizes differ by one row at most. Input columns called shard or slot are replaced; the position is dropped."""
+    position = free_name(rows, "__position")
+    return (rows.withColumnRenamed(position_col, position).drop("shard", "slot")
+            .withColumn("shard", F.expr(f"`{position}` % {shards}").cast("int"))
+            .withColumn("slot", F.expr(f"`{position}` div {shards}")).drop(position))
+
+
 def sharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op2: every document's shard and slot, law ``rows``."""
     docs = table(spark, sf_dir, "documents").select(

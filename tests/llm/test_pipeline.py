@@ -89,6 +89,35 @@ def test_pipeline_like_brute_force(spark, tmp_path):
     assert {r["doc_id"] for r in final.collect()} == seen[4]
 
 
+def test_mix_and_shards_keep_every_row_in_the_order_of_the_schedule(spark, tmp_path):
+    rng = random.Random(5)
+    sizes = {"hot": 6_000, "b": 2_500, "c": 1_400, None: 1}  # a source of one row ends phase 0 early
+    rows = [(i, f"t{i}", "en", s, 1) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    rows += rows[:40] + [(None, "x", "en", "hot", 1)] * 3
+    rng.shuffle(rows)
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    corpus_pipeline.mix(spark, given, "").write.parquet(f"{tmp_path}/mixed")
+    mixed = spark.read.parquet(f"{tmp_path}/mixed")
+    bag = lambda df: sorted(map(repr, df.select(*given.columns).collect()))
+    assert bag(mixed) == bag(given)
+    files = [r[0] for r in mixed.select("_metadata.file_name").distinct().orderBy("file_name").collect()]
+    assert len(files) == 2
+    filed = [r["source"] for f in files for r in spark.read.parquet(f"{tmp_path}/mixed/{f}").coalesce(1).collect()]
+    out = corpus_pipeline.shard(spark, mixed, "")
+    assert bag(out) == bag(given)
+    dealt = sorted(out.collect(), key=lambda r: (r["slot"], r["shard"]))
+    assert [(r["slot"], r["shard"]) for r in dealt] == [divmod(p, 16) for p in range(len(rows))]
+    assert [r["source"] for r in dealt] == filed
+    # brute force: the schedule's blocks, one after the other, from the sizes alone
+    have = {s: sum(r[3] == s for r in rows) for s in sizes}
+    name = {s: "null" if s is None else f"={s}" for s in sizes}
+    back = {v: k for k, v in name.items()}
+    expected = []
+    for k, j, _ in mixing.schedule({name[s]: -(-n // 64) for s, n in have.items()}, {name[s]: n ** 0.7 for s, n in have.items()}):
+        expected += [back[k]] * min(64, have[back[k]] - 64 * j)
+    assert filed == expected
+
+
 def test_stages_take_an_empty_table_and_extra_columns(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, phase int, "
