@@ -41,8 +41,11 @@ POLICIES = {
     "base": BASE,
     "v1": BASE | BIT["symbols"] | BIT["duplicate_lines"],
     "v2": sum(BIT.values()),
+    "v3": sum(BIT.values()) - BIT["too_long"],  # length alone says nothing against a text
 }
 CURRENT = "v2"
+#: The policy of the pipeline.
+PIPELINE = "v3"
 
 
 def _repeat_words(ids: np.ndarray) -> int:

@@ -89,6 +89,15 @@ def test_pipeline_like_brute_force(spark, tmp_path):
     assert {r["doc_id"] for r in final.collect()} == seen[4]
 
 
+def test_a_clean_text_is_not_dropped_for_its_length(spark):
+    text = " ".join(f"word{i}" for i in range(1_000_001))
+    given = spark.createDataFrame([(1, text, "en", "a", len(text)), (2, "too short", "en", "a", 9)],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in corpus_pipeline.quality(spark, given, "").select("doc_id").collect()] == [1]
+    failed = quality_rules.with_ledger(given.where("doc_id = 1"), "ledger").select("ledger.fail_bits").first()[0]
+    assert failed == quality_rules.BIT["too_long"]
+
+
 def test_mix_and_shards_keep_every_row_in_the_order_of_the_schedule(spark, tmp_path):
     rng = random.Random(5)
     sizes = {"hot": 6_000, "b": 2_500, "c": 1_400, None: 1}  # a source of one row ends phase 0 early
