@@ -2,10 +2,11 @@
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers (``base_spans``). The field then looks for
 mentions that no pattern matches but that repeat one, such as a phone number without its country code or an address
-with a masked dot. Its nodes are the words with a digit, ``@`` or ``+``; all other words are other-label by definition,
-so the chain breaks there. Chain edges join neighbouring nodes, skip edges join each node to the next one, however
-distant, of the same key (last 7 digits, or letters and digits alone), which makes them linear in the nodes. Words under a
-pattern's match are observed; loopy sum-product passing gives the others their label probabilities. A word gains a
+with a masked dot. Its nodes are the words with a digit, ``@``, ``+`` or a masked sign such as ``(at)`` or ``[.]``, where a
+pattern's match that reaches over blanks and a group of plain digit words that has the digits of a match are one node
+each; all other words are other-label by definition, so the chain breaks there. Chain edges join neighbouring nodes, skip
+edges join each node to the next one, however distant, of the same key (last 7 digits, letters and digits alone, or the
+address of an IP, shorter ones too), which makes them linear in the nodes. Words under a pattern's match are observed; loopy sum-product passing gives the others their label probabilities. A word gains a
 span if a label other than ``other`` has at least half of the probability and a chain of skip edges leads to an
 observed word of that label; other labels are ruled out. So a text without a pattern match never gains one.
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,10 +46,13 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_NODE = re.compile(r"[0-9@+][^ \t\n\x0b\f\r]*")
+_NODE = re.compile(r"(?:[0-9@+]|[(\[{](?:[Aa][Tt]|[Dd][Oo][Tt]|\.)[)\]}])[^ \t\n\x0b\f\r]*")
+#: Words of digits, and what may join them to one number.
+_NUMBER = re.compile(r"\+?[(]?[0-9][0-9().-]*[,;:!?]?")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _NOT_PLAIN = re.compile(r"[^a-z0-9]+")
 _AT = re.compile(r"[(\[{]at[)\]}]")
+_DOT = re.compile(r"[(\[{](?:dot|\.)[)\]}]")
 
 
 class Span(NamedTuple):
@@ -98,7 +103,7 @@ class Graph(NamedTuple):
     skip: np.ndarray
 
 
-def _nodes(text: str) -> Iterator[tuple[int, int]]:
+def _words(text: str) -> Iterator[tuple[int, int]]:
     done = 0
     for m in _NODE.finditer(text):
         start = m.start()
@@ -108,8 +113,46 @@ def _nodes(text: str) -> Iterator[tuple[int, int]]:
         yield start, done
 
 
+def _nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """The words, and in place of several neighbouring ones: those under one match, and those of digits that together
+    have the key of a match. The longest such group counts."""
+    words = list(_words(text))
+    starts = [a for a, _ in words]
+    spans = sorted({(s.start, s.end) for s in base if s.kind >= 2})
+    keys = {k for a, b in spans if (k := _key(text[a:b]))}
+    if not keys:
+        return words
+    joined = [False] * len(words)  # to the word before it, by a match
+    for a, b in spans:
+        i = max(bisect_right(starts, a) - 1, 0)
+        for k in range(i + 1, bisect_left(starts, b)):
+            joined[k] = words[k - 1][1] > a
+    out, i = [], 0
+    while i < len(words):
+        j = i + 1
+        while j < len(words) and joined[j]:
+            j += 1
+        if j == i + 1 and _NUMBER.fullmatch(text, *words[i]):
+            digits, k = "", i
+            while (k < len(words) and len(digits) < 19 and not (k > i and joined[k]) and _NUMBER.fullmatch(text, *words[k])
+                   and (k == i or text[words[k - 1][1]:words[k][0]] in (" ", "\t", "\n") and text[words[k - 1][1] - 1] not in ",;:!?")):
+                if k + 1 < len(words) and joined[k + 1]:
+                    break
+                digits += _NOT_DIGIT.sub("", text[words[k][0]:words[k][1]])
+                k += 1
+                if 7 <= len(digits) <= 19 and digits[-7:] in keys:
+                    j = k
+        out.append((words[i][0], words[j - 1][1]))
+        i = j
+    return out
+
+
 def _key(word: str) -> str | None:
-    plain = _NOT_PLAIN.sub("", _AT.sub("@", word.lower()))
+    plain = word.strip("\"'.,;:!?()[]{}<>")
+    dotted = _DOT.sub(".", plain.lower())
+    if _IP.fullmatch(dotted):
+        return "ip" + ".".join(p.lstrip("0") or "0" for p in dotted.split("."))
+    plain = _NOT_PLAIN.sub("", _AT.sub("@", _DOT.sub(".", word.lower())))
     if plain.isdigit():
         return plain[-7:] if len(plain) >= 7 else None
     return plain if len(plain) >= 8 else None
@@ -131,7 +174,7 @@ N_FEATURES = len(_features("1"))
 
 
 def graph(text: str, base: list[Span]) -> Graph:
-    places = list(_nodes(text))
+    places = _nodes(text, base)
     observed = np.zeros(len(places), np.int64)
     starts = np.array([a for a, _ in places], np.int64)
     for s in reversed(base):  # the first kind listed stays where two kinds meet

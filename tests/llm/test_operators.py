@@ -188,6 +188,26 @@ def test_field_adds_distant_mentions_and_nothing_else(field):
     assert pii.added_spans(clean, pii.base_spans(clean), field) == []
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("write to jane.doe@example.com now. later jane.doe(at)example.com and jane.doe[at]example[.]com, meet (at) noon",
+     {"jane.doe(at)example.com", "jane.doe[at]example[.]com"}),
+    ("call +1 743 555 3824 today or 743-555-3824, later 743 555 3824! not 743 555 9999", {"743-555-3824", "743 555 3824"}),
+    ("host 8.8.8.8 and then 8[.]8[.]8[.]8 but 8.8.8", {"8[.]8[.]8[.]8"})])
+def test_field_adds_masked_spaced_and_short_repeats(field, text, expected):
+    base = pii.base_spans(text)
+    assert {text[s.start:s.end] for s in pii.added_spans(text, base, field)} == expected
+
+
+def test_field_links_cards_written_with_spaces():
+    card = "4111 1111 1111 1111"
+    other = pii.fit([f"the card 5500 0000 0000 {k:04} or 4111 1111 1111 1111 and version {k}.0 of 10.0.0.{k}" for k in range(200)])
+    text = f"card {card} and later 4111/1111/1111/1111 not 4111/1111/1111/2222"
+    base = pii.base_spans(text)
+    g = pii.graph(text, base)
+    assert [text[a:b] for a, b in g.spans][:2] == [card, "4111/1111/1111/1111"] and pii._linked_labels(g) == {1: {3}}
+    assert {text[s.start:s.end] for s in pii.added_spans(text, base, other)} == {"4111/1111/1111/1111"}
+
+
 def test_marginals_equal_enumeration_on_a_tree(field):
     text = "see +1 (743) 555-3824 and 743-555-3824 so"
     g = pii.graph(text, pii.base_spans(text))
