@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from accountlens.llm import (chat, decontamination, mixing, pii, quality_rules, sharding, simhash, token_binary,
-                             token_counts, toxicity)
+                             token_counts, toxicity, vector_codes)
 
 QUERIES = {
     "op1_token_counts": token_counts.counted_documents,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_source_mix": mixing.mixed_documents,
     "op9_toxicity": toxicity.toxic_documents,
     "op10_token_ids": token_binary.tokenized_documents,
+    "op11_vector_codes": vector_codes.coded_embeddings,
 }
 
 #: The others have no SQL: they are tested against brute force, an exact round trip or held-out accuracy.
@@ -24,4 +25,5 @@ ORACLE = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op6_chat_format": chat.ORACLE_SQL,
+    "op11_vector_codes": vector_codes.ORACLE_SQL,
 }
