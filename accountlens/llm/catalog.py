@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from accountlens.llm import (chat, decontamination, mixing, pii, quality_rules, sharding, simhash, token_binary,
+from accountlens.llm import (chat, decontamination, hard_negatives, mixing, pii, quality_rules, sharding, simhash, token_binary,
                              token_counts, toxicity, vector_codes)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_toxicity": toxicity.toxic_documents,
     "op10_token_ids": token_binary.tokenized_documents,
     "op11_vector_codes": vector_codes.coded_embeddings,
+    "op13_hard_negatives": hard_negatives.mined_embeddings,
 }
 
 #: The others have no SQL: they are tested against brute force, an exact round trip or held-out accuracy.
@@ -26,4 +27,5 @@ ORACLE = {
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op6_chat_format": chat.ORACLE_SQL,
     "op11_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
