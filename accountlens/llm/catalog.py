@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from accountlens.llm import (chat, decontamination, hard_negatives, mixing, pii, quality_rules, sharding, simhash, token_binary,
-                             token_counts, toxicity, vector_codes)
+from accountlens.llm import (chat, decontamination, hard_negatives, html_templates, mixing, pii, quality_rules, sharding, simhash,
+                             token_binary, token_counts, toxicity, vector_codes)
 
 QUERIES = {
     "op1_token_counts": token_counts.counted_documents,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_toxicity": toxicity.toxic_documents,
     "op10_token_ids": token_binary.tokenized_documents,
     "op11_vector_codes": vector_codes.coded_embeddings,
+    "op12_html_extraction": html_templates.extracted_pages,
     "op13_hard_negatives": hard_negatives.mined_embeddings,
 }
 
