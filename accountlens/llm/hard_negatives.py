@@ -230,7 +230,7 @@ class HardNegatives:
         (own.join(starts, "block").withColumn("wave", F.expr(f"before div {per_wave}")).drop("before")
          .write.partitionBy("wave").parquet(path))
         self.anchors = self.spark.read.schema(BLOCK_SCHEMA + ", wave long").parquet(path)
-        self.waves = (self.anchors.agg(F.max("wave")).first()[0] or 0) + 1 if first else 0
+        self.waves = self.anchors.agg(F.coalesce(F.max("wave") + 1, F.lit(0))).first()[0]
 
     def _search(self, wave: Vectors, low: np.ndarray, high: np.ndarray, k: int, same_label: bool,
                 positives: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:

@@ -110,14 +110,23 @@ class _Open:
         self.like[label] = number = self.like.get(label, 0) + 1
         return _Open(name, self, label, number, aside, region)
 
+    def _line(self, known: str) -> list[_Open]:
+        """This element and those above it up to one whose ``known`` is made, outermost first."""
+        line = [self]
+        while line[-1].above is not None and getattr(line[-1].above, known) is None:
+            line.append(line[-1].above)
+        return line[::-1]
+
     def token(self) -> int:
         if self.own is None:
-            self.own = _hash(f"{self.above.token() if self.above else 0} {self.label} {self.number}")
+            for e in self._line("own"):
+                e.own = _hash(f"{e.above.own if e.above else 0} {e.label} {e.number}")
         return self.own
 
     def slot(self) -> int:
         if self.path is None:
-            self.path = _hash(f"{self.above.slot() if self.above else 0} {self.label}")
+            for e in self._line("path"):
+                e.path = _hash(f"{e.above.path if e.above else 0} {e.label}")
         return self.path
 
 
@@ -219,10 +228,12 @@ def blocks(page: str) -> list[Block]:
             at = end + 1 if end >= 0 else size
             continue
         match = tag.match(page, mark)
-        if match is None and tag is _TAG and (following[:1] == "/" or following[:1].isalpha()):
-            match = _PLAIN_TAG.match(page, mark)
-            if match:
-                tag = _PLAIN_TAG  # an unclosed quote: from here on quotes do not matter, so no tag is looked for twice
+        if match is None and following.removeprefix("/")[:1].isalpha():
+            tag = _PLAIN_TAG  # an unclosed quote: from here on quotes do not matter, so none is looked for twice
+            match = tag.match(page, mark)
+            if match is None:  # no tag ends any more
+                text_run(page[mark:])
+                break
         if match is None:
             text_run("<")
             at = mark + 1
