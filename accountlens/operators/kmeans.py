@@ -1,23 +1,20 @@
-"""K-Means with all restarts advanced in one pass per iteration (``solver='batched'``).
-
-The documented configuration runs 20 restarts (k-means++ seeding + Lloyd,
-variance-relative tolerance) and keeps the lowest inertia. Fitting restarts
-one after another (``solver='mllib'``) costs ``restarts x iterations``
-scans of the cached points; this solver serves all restarts with every scan:
-
-* seeding (greedy k-means++): for each new centre one pass draws ``2 + ln k``
-  candidates per restart - each partition proposes the point with the largest
-  Efraimidis-Spirakis key ``log(u) / (w D^2)`` (weight x D^2 sampling; ``u`` is
-  derived from a hash of the point, so draws do not depend on partitioning) and
-  ``max_by`` picks the winner - and a second pass scores each candidate's
-  potential; the lowest potential is kept;
-* Lloyd: each partition computes nearest centres and per-(restart, cluster)
-  partial sums with NumPy on Arrow batches; ``groupBy(restart, cluster)``
-  reduces them to ``restarts x k`` rows that reach the driver;
-* a last pass computes every restart's inertia with its final centres.
-
-Centres travel in the task closure, so the plan (and its generated code)
-stays the same across iterations. Only centre tables reach the driver.
+"""K-Means with all restarts advanced together, in few passes over the points (``solver='batched'``).
+
+The documented configuration runs 20 restarts (k-means++ seeding + Lloyd, variance-relative tolerance) and keeps the
+lowest inertia. One pass over the data for each step of each restart would cost hundreds of scans, so a fit has two parts:
+
+* **On a summary.** The space is cut into a regular grid; one aggregation gives the weight and the coordinate sums of every
+  cell that holds points. The grid starts with ``FIRST_CELLS`` cells and is refined only while fewer than ``LEAST_CELLS`` of them hold
+  points and some holds several, so their number is bounded at any size of the data. The driver runs greedy
+  k-means++ and Lloyd for all restarts on the cells' means: first on cells merged to ``MERGED_CELLS`` at most, then on the
+  cells as they are.
+* **On all points.** One pass assigns all points to the centres of every distinct end: partitions add up weights, sums and squared
+  distances with NumPy on Arrow batches, and ``groupBy(restart, cluster)`` reduces them to ``restarts x k`` rows that reach the
+  driver. The end with the lowest inertia over all points is the winner, and Lloyd passes over all points move it
+  until the stopping rule holds. As the cells' sums are exact, and only cells on a border between clusters can be assigned
+  wrongly, it mostly holds at once.
+
+Centres travel in the task closure, so the plan (and its generated code) stays the same across passes.
 """
 
 from __future__ import annotations
@@ -34,20 +31,13 @@ from pyspark.sql import functions as F
 # workers need only NumPy and pandas, not this package on their path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_M1 = np.uint64(0x9E3779B97F4A7C15)
-_M2 = np.uint64(0xBF58476D1CE4E5B9)
-_M3 = np.uint64(0x94D049BB133111EB)
-
-
-def _uniform(h: np.ndarray, restart: int, step: int) -> np.ndarray:
-    """Uniform (0, 1) per row from its 64-bit hash, a restart and a step (splitmix64 finaliser)."""
-    with np.errstate(over="ignore"):
-        x = h ^ (np.uint64(restart + 1) * _M1) ^ (np.uint64(step + 1) * _M2)
-        x = x + _M1
-        x = (x ^ (x >> np.uint64(30))) * _M2
-        x = (x ^ (x >> np.uint64(27))) * _M3
-        x = x ^ (x >> np.uint64(31))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+#: Cells of the first grid, the number that is fine enough, the most for seeding, and where refinement ends.
+FIRST_CELLS = 1 << 18
+LEAST_CELLS = 1024
+MERGED_CELLS = 8192
+MOST_BINS = 1 << 30
+#: Tasks that add up partial sums: at most a row for each restart, cluster and partition comes in.
+REDUCERS = 4
 
 
 #: Partial sums are added as fixed-point decimals: exact, so neither the order of arrival nor the number of
@@ -65,65 +55,69 @@ def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return np.einsum("nkd,nkd->nk", diff, diff)
 
 
-def _seed_step(points: DataFrame, cols: list[str], centres: dict, restarts: list[int], step: int,
-               weight_col: str | None = None, trials: int = 1) -> dict:
-    """One D^2-sampling pass: ``trials`` candidate centres for every restart in ``restarts``
-    (each drawn with probability ~ weight x D^2); returns {(restart, trial): point}."""
-    d = len(cols)
-    frozen = {r: (np.asarray(centres[r]) if centres.get(r) else np.zeros((0, d))) for r in restarts}
-    slots = [(r, t) for r in restarts for t in range(trials)]
-
-    def propose(batches):
-        best_key = {sl: -np.inf for sl in slots}
-        best_pt = {sl: None for sl in slots}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf[cols].to_numpy(dtype=np.float64)
-            h = pdf["__h"].to_numpy().astype(np.int64).view(np.uint64)
-            w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
-            for r in restarts:
-                C = frozen[r]
-                p = w if len(C) == 0 else _sqdist(X, C).min(axis=1) * w
-                for t in range(trials):
-                    u = _uniform(h, r * 64 + t, step)
-                    key = np.where(p > 0, np.log(u) / np.where(p > 0, p, 1.0), -np.inf)
-                    i = int(np.argmax(key))
-                    if key[i] > best_key[(r, t)]:
-                        best_key[(r, t)], best_pt[(r, t)] = float(key[i]), X[i]
-        rows = [(r, t, best_key[(r, t)], *map(float, best_pt[(r, t)])) for r, t in slots
-                if best_pt[(r, t)] is not None]
-        yield pd.DataFrame(rows, columns=["restart", "trial", "key", *cols])
-
-    schema = "restart int, trial int, key double, " + ", ".join(f"{c} double" for c in cols)
-    proposals = points.mapInPandas(propose, schema)
-    chosen = (proposals.groupBy("restart", "trial").agg(F.max_by(F.struct(*cols), F.struct("key", *cols)).alias("p")).collect())
-    return {(int(row["restart"]), int(row["trial"])): [float(row["p"][c]) for c in cols] for row in chosen}
-
-
-def _potentials(points: DataFrame, cols: list[str], centres: dict, candidates: dict,
-                weight_col: str | None = None) -> dict:
-    """Greedy seeding: the potential sum(w x min(D^2, |x - candidate|^2)) of every (restart, trial) candidate."""
-    d = len(cols)
-    frozen = {r: np.asarray(c, dtype=np.float64) for r, c in centres.items()}
-    cands = {sl: np.asarray(p, dtype=np.float64) for sl, p in candidates.items()}
-
-    def partial(batches):
-        acc = {sl: 0.0 for sl in cands}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf[cols].to_numpy(dtype=np.float64)
-            w = pdf[weight_col].to_numpy(dtype=np.float64) if weight_col else np.ones(len(X))
-            cur = {r: _sqdist(X, C).min(axis=1) for r, C in frozen.items()}
-            for (r, t), c in cands.items():
-                dc = ((X - c.reshape(1, d)) ** 2).sum(axis=1)
-                acc[(r, t)] += float((np.minimum(cur[r], dc) * w).sum())
-        yield pd.DataFrame([(r, t, v) for (r, t), v in acc.items()], columns=["restart", "trial", "pot"])
-
-    parts = points.mapInPandas(partial, "restart int, trial int, pot double")
-    rows = parts.groupBy("restart", "trial").agg(_exact_sum("pot")).collect()
-    return {(int(row["restart"]), int(row["trial"])): float(row["pot"]) for row in rows}
+class Summary:
+    """Grid cells that hold points, in the order of their bins: bins (cells x dimensions), weights and coordinate sums."""
+
+    def __init__(self, bins: np.ndarray, weights: np.ndarray, sums: np.ndarray):
+        order = np.lexsort(bins.T[::-1])
+        self.bins, self.weights, self.sums = bins[order], weights[order], sums[order]
+
+    @property
+    def means(self) -> np.ndarray:
+        return self.sums / self.weights[:, None]
+
+    def merged(self, most: int) -> Summary:
+        """Neighbouring cells as one, until there are at most ``most``."""
+        out = self
+        while len(out.weights) > most:
+            bins, cell = np.unique(out.bins // 2, axis=0, return_inverse=True)
+            cell = cell.ravel()
+            sums = np.stack([np.bincount(cell, weights=s) for s in out.sums.T], axis=1)
+            out = Summary(bins, np.bincount(cell, weights=out.weights), sums)
+        return out
+
+
+def summarise(points: DataFrame, cols: list[str], weight_col: str | None = None) -> Summary:
+    """The summary of points whose coordinates are of the order of 1; identical points must be collapsed into one."""
+    weight = F.col(weight_col) if weight_col else F.lit(1.0)
+    bins = max(2, int(FIRST_CELLS ** (1 / len(cols)) + 1e-9))
+    while True:
+        cells = (points.groupBy(*[F.floor(F.col(c) * bins).cast("long").alias(f"b{i}") for i, c in enumerate(cols)])
+                 .agg(F.count(F.lit(1)).alias("points"), F.sum(weight.cast(SUM_TYPE)).cast("double").alias("w"),
+                      *[F.sum((F.col(c) * weight).cast(SUM_TYPE)).cast("double").alias(f"s{i}") for i, c in enumerate(cols)]))
+        found = cells.toArrow()
+        if len(found) >= LEAST_CELLS or bins >= MOST_BINS or not np.any(found["points"].to_numpy() > 1):
+            break
+        bins *= 2
+    at, sums = ([found[f"{x}{i}"].to_numpy() for i in range(len(cols))] for x in "bs")
+    return Summary(np.stack(at, axis=1), found["w"].to_numpy(), np.stack(sums, axis=1))
+
+
+def seed_centres(X: np.ndarray, w: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Greedy k-means++: each centre is the best of ``2 + ln k`` draws by weight x D^2; fewer centres if points run out."""
+    C = [X[rng.choice(len(X), p=w / w.sum())]]
+    near = ((X - C[0]) ** 2).sum(axis=1)
+    while len(C) < k and (near * w).sum() > 0:
+        p = near * w
+        drawn = rng.choice(len(X), size=2 + int(np.log(k)), p=p / p.sum())
+        closer = np.minimum(near[None, :], _sqdist(X[drawn], X))
+        best = int(np.argmin((closer * w).sum(axis=1)))
+        C.append(X[drawn[best]])
+        near = closer[best]
+    return np.array(C)
+
+
+def lloyd_on_summary(X: np.ndarray, w: np.ndarray, C: np.ndarray, max_iter: int) -> np.ndarray:
+    """Lloyd steps on weighted points until nothing moves."""
+    for _ in range(max_iter):
+        label = np.argmin(_sqdist(X, C), axis=1)
+        n = np.bincount(label, weights=w, minlength=len(C))
+        sums = np.stack([np.bincount(label, weights=X[:, j] * w, minlength=len(C)) for j in range(X.shape[1])], axis=1)
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1e-300)[:, None], C)
+        if np.array_equal(moved, C):
+            break
+        C = moved
+    return C
 
 
 def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: str | None = None) -> dict:
@@ -153,7 +147,7 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
 
     schema = "restart int, cluster int, n double, " + ", ".join(f"s_{c} double" for c in cols) + ", sse double"
     partials = points.mapInPandas(partial, schema)
-    agg = (partials.groupBy("restart", "cluster")
+    agg = (partials.repartition(REDUCERS, "restart", "cluster").groupBy("restart", "cluster")
            .agg(_exact_sum("n"), *[_exact_sum(f"s_{c}") for c in cols], _exact_sum("sse"))
            .collect())
     return {(int(row["restart"]), int(row["cluster"])): (float(row["n"]), [float(row[f"s_{c}"]) for c in cols],
@@ -161,17 +155,18 @@ def _lloyd_pass(points: DataFrame, cols: list[str], centres: dict, weight_col: s
 
 
 def lloyd(points: DataFrame, cols: list[str], centres: dict, max_iter: int, tol_abs: float,
-          weight_col: str | None = None) -> dict:
+          weight_col: str | None = None, first: dict | None = None) -> dict:
     """Lloyd steps from ``centres`` ({restart: list of points}), all restarts in each pass; returns the moved centres.
 
     A restart stops when its summed squared centre shift is <= ``tol_abs``; empty clusters keep their centre.
+    ``first``: the sums of the first pass, if that has been made.
     """
     centres = dict(centres)
     active = set(centres)
-    for _ in range(max_iter):
+    for step in range(max_iter):
         if not active:
             break
-        stats = _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
+        stats = first if first and not step else _lloyd_pass(points, cols, {r: centres[r] for r in sorted(active)}, weight_col)
         for r in sorted(active):
             old = centres[r]
             new = []
@@ -186,34 +181,27 @@ def lloyd(points: DataFrame, cols: list[str], centres: dict, max_iter: int, tol_
 
 
 def fit_batched(points: DataFrame, cols: list[str], k: int, n_init: int, max_iter: int,
-                tol_abs: float, weight_col: str | None = None) -> tuple[list[list[float]], float]:
-    """Fit ``n_init`` restarts together; returns the centres and inertia of the best one.
+                tol_abs: float, weight_col: str | None = None, seed: int = 0) -> tuple[list[list[float]], float]:
+    """Fit ``n_init`` restarts together; returns the centres of the best one and its inertia before the last passes.
 
-    ``points`` holds ``cols`` (complete rows only), ``__h`` (a 64-bit hash of the point) and
-    optionally a weight column (a point of weight w counts as w identical rows).
-    A restart converges when its summed squared centre shift is <= ``tol_abs``;
-    empty clusters keep their centre. Ties in inertia go to the lowest restart.
+    ``points`` holds ``cols`` (complete rows only, identical ones collapsed) and optionally a weight column (a point of weight
+    w counts as w identical rows). The winner converges when its summed squared centre shift is <= ``tol_abs``;
+    empty clusters keep their centre. Ties in inertia go to the lowest restart. With fewer than ``k`` distinct points
+    there are fewer centres.
     """
-    restarts = list(range(n_init))
-    centres: dict[int, list[list[float]]] = {r: [] for r in restarts}
-    open_r = list(restarts)
-    trials = 2 + int(np.log(k))   # greedy k-means++: several draws per step, the lowest potential wins
-    for step in range(k):
-        n_t = 1 if step == 0 else trials
-        cands = _seed_step(points, cols, centres, open_r, step, weight_col, n_t)
-        if n_t > 1 and cands:
-            pots = _potentials(points, cols, {r: centres[r] for r in open_r}, cands, weight_col)
-        nxt = []
-        for r in open_r:
-            mine = [t for t in range(n_t) if (r, t) in cands]
-            if not mine:            # no positive-distance row left: this restart keeps fewer centres
-                continue
-            best_t = mine[0] if n_t == 1 else min(mine, key=lambda t: (pots[(r, t)], t))
-            centres[r] = centres[r] + [cands[(r, best_t)]]
-            nxt.append(r)
-        open_r = nxt
-    centres = lloyd(points, cols, {r: c for r, c in centres.items() if c}, max_iter, tol_abs, weight_col)
-    final = _lloyd_pass(points, cols, centres, weight_col)
-    inertia = {r: sum(v[2] for (rr, _), v in final.items() if rr == r) for r in centres}
-    best = min(centres, key=lambda r: (inertia[r], r))
+    fine = summarise(points, cols, weight_col)
+    coarse = fine.merged(MERGED_CELLS)
+    starts: dict[bytes, np.ndarray] = {}
+    for r in range(n_init):
+        C = seed_centres(coarse.means, coarse.weights, k, np.random.default_rng([seed, r]))
+        C = lloyd_on_summary(coarse.means, coarse.weights, C, max_iter)
+        if len(C) < min(k, len(fine.weights)):  # the merged cells ran out
+            C = seed_centres(fine.means, fine.weights, k, np.random.default_rng([seed, r]))
+        C = C[np.lexsort(C.T[::-1])]
+        starts.setdefault(C.tobytes(), C)
+    ends = [lloyd_on_summary(fine.means, fine.weights, C, max_iter).tolist() for C in starts.values()]
+    first = _lloyd_pass(points, cols, dict(enumerate(ends)), weight_col)
+    inertia = {r: sum(v[2] for (rr, _), v in first.items() if rr == r) for r in range(len(ends))}
+    best = min(inertia, key=lambda r: (inertia[r], r))
+    centres = lloyd(points, cols, {best: ends[best]}, max_iter, tol_abs, weight_col, first)
     return centres[best], inertia[best]

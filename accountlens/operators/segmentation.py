@@ -10,9 +10,9 @@ fit:
      the row count, sorted and checkpointed to the shared checkpoint folder
      (placement independent of the input => repeatable K-Means; lost executors
      recompute from the checkpoint, not from the sources);
-  3. K-Means with ``nInit`` restarts: by default all restarts advance in each
-     data pass (``kmeans.fit_batched``), or one MLlib k-means|| fit per restart
-     (``solver='mllib'``); the lowest cost wins;
+  3. K-Means with ``nInit`` restarts: by default on a bounded summary and then
+     in few passes over all points (``kmeans.fit_batched``), or one MLlib
+     k-means|| fit per restart (``solver='mllib'``); the lowest cost wins;
   4. one aggregation of mean rfm_score per cluster -> k rows to the driver.
 transform:
   a single narrow projection: scaling, nearest-centre assignment, segment
@@ -129,15 +129,10 @@ def nearest_centre_expr(centres: list[list[float]], cols=SCORE_COLS) -> Column:
     """Index of the nearest centre (squared Euclidean distance, ties -> lowest index)."""
     if len(centres) == 1:
         return F.lit(0)
-    dists = []
-    for c in centres:
-        terms = [(F.col(col) - F.lit(float(v))) * (F.col(col) - F.lit(float(v))) for col, v in zip(cols, c)]
-        d = terms[0]
-        for t in terms[1:]:
-            d = d + t
-        dists.append(d)
-    arr = F.array(*dists)
-    return (F.array_position(arr, F.array_min(arr)) - F.lit(1)).cast("int")
+    # as text: hundreds of small column calls cost the driver more than the query itself
+    dists = ", ".join(" + ".join(f"(`{col}` - {float(v)!r}D) * (`{col}` - {float(v)!r}D)" for col, v in zip(cols, c))
+                      for c in centres)
+    return F.expr(f"CAST(array_position(array({dists}), array_min(array({dists}))) - 1 AS INT)")
 
 
 # ---------------------------------------------------------------------------
@@ -310,16 +305,14 @@ class RFMSegmenter(Estimator, _SegmenterParams):
         return pts.repartition(n_parts, *SCORE_COLS).sortWithinPartitions(*SCORE_COLS)
 
     def _fit_batched(self, scored: DataFrame, n_fit: int, k: int, tol_abs: float) -> list[list[float]]:
-        """All restarts per pass (see ``kmeans``); draws come from a hash of the point, not its placement."""
-        pts = self._weighted_points(scored, n_fit)
-        pts = pts.select(F.xxhash64(*SCORE_COLS, F.lit(self.getOrDefault("seed"))).alias("__h"), *SCORE_COLS, "weight")
-        pts = materialize(pts).cache()
+        """All restarts together (see ``kmeans``); draws depend on the points and the seed, not on placement."""
+        pts = materialize(self._weighted_points(scored, n_fit)).cache()
         try:
             if self.isSet("startCentres"):
                 start = {0: [list(map(float, c)) for c in self.getOrDefault("startCentres")]}
                 return lloyd(pts, SCORE_COLS, start, self.getOrDefault("maxIter"), tol_abs, "weight")[0]
             centres, _ = fit_batched(pts, SCORE_COLS, k, max(1, self.getOrDefault("nInit")),
-                                     self.getOrDefault("maxIter"), tol_abs, weight_col="weight")
+                                     self.getOrDefault("maxIter"), tol_abs, "weight", self.getOrDefault("seed"))
         finally:
             pts.unpersist()
         return centres
