@@ -967,6 +967,41 @@ def ext4_twice(spark, sf):
     return spark.read.parquet(target)
 
 
+_ONE_DAY = _dt.date(2001, 7, 16)
+_DAY_AGAIN = _dt.date(1998, 3, 3)
+
+
+@q("ext4_indexed_ingest", S.with_base() + "SELECT strftime(interaction_date, '%Y%m%d') || '-' || interaction_id AS interaction_id, "
+   "* EXCLUDE (interaction_id), CAST(year(interaction_date) * 100 + month(interaction_date) AS INTEGER) AS month FROM interactions "
+   f"WHERE interaction_date < {td.sql_date(_HISTORY_UNTIL)} OR interaction_date = {td.sql_date(_ONE_DAY)}")
+def ext4_indexed(spark, sf):
+    """History by month, then one day with rows of an old day again, delivered twice; only files that may hold the keys are read."""
+    from accountlens.streaming.keyindex import IndexedFact
+    inter = _inter(spark, sf).withColumn("interaction_id", F.concat(
+        F.date_format("interaction_date", "yyyyMMdd"), F.lit("-"), F.col("interaction_id")))
+    fact = IndexedFact(spark, _scratch(spark, "fact") + "/interactions")
+    fact.append(inter.filter(F.col("interaction_date") < F.lit(_HISTORY_UNTIL)))
+    batch = inter.filter(F.col("interaction_date").isin(_ONE_DAY, _DAY_AGAIN))
+    fact.append(batch)
+    fact.append(batch)
+    return fact.read()
+
+
+@q("ext4_stream_ingest", S.with_base() + "SELECT * FROM interactions")
+def ext4_stream(spark, sf):
+    """Deliveries that overlap, out of date order, read as a stream in small batches, and one more after a restart."""
+    from accountlens.streaming.incremental import stream_ingest
+    inter = _inter(spark, sf)
+    source, target = _scratch(spark, "deliveries"), _scratch(spark, "fact") + "/interactions"
+    third = F.pmod(F.xxhash64("interaction_id"), F.lit(3))
+    for part in (third != 2, third != 0):
+        inter.filter(part).coalesce(2).write.mode("append").parquet(source)
+        stream_ingest(spark, source, inter.schema, target, files_per_batch=2)
+    inter.filter(third != 1).coalesce(2).write.mode("append").parquet(source)
+    stream_ingest(spark, source, inter.schema, target)
+    return spark.read.parquet(target)
+
+
 @q("ext5_row_level_security", S.with_base() + "SELECT a.consultant_id, e.* FROM (SELECT DISTINCT consultant_id, employer_id "
    "FROM interactions WHERE consultant_id IS NOT NULL AND employer_id IS NOT NULL) a JOIN employers_raw e "
    "ON a.employer_id = e.employer_id")
