@@ -1050,6 +1050,14 @@ def src1_quoted(spark, sf):
     return load_file(spark, path, multi_line=True)
 
 
+@q("src1_csv_line_breaks", "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents")
+def src1_line_breaks(spark, sf):
+    """The same by the default load, which cuts the splits of each file into records."""
+    from accountlens.sources.files import load_file, write_table
+    docs = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").select("doc_id", "text", "lang", "source")
+    return load_file(spark, write_table(docs, _scratch(spark, "documents") + "/documents.csv", "csv"))
+
+
 @q("src2_parquet_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def src2(spark, sf):
     from accountlens.sources.files import load_file

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accountlens import constants as C
+from accountlens.sources.csvsplits import borders, read_records
 
 SUPPORTED_FORMATS = {".csv": "csv", ".parquet": "parquet"}
 
@@ -60,7 +61,9 @@ CSV_QUOTING = {"quote": '"', "escape": '"'}
 def load_file(spark: SparkSession, path: str, fmt: str | None = None, schema=None, multi_line: bool = False) -> DataFrame:
     """SRC1 / SRC2 / SRC3: scan a CSV (header, every column as text unless ``schema``) or Parquet source.
 
-    ``multi_line`` allows line breaks inside quoted cells; a file is then read by one task, not split.
+    Quoted cells may hold line breaks. Lines with a quote are looked at first: if no record has a line break, Spark's CSV scan
+    reads the source; else its splits are cut into records by their borders (``csvsplits``), by as many tasks. Both give
+    the same rows. A quote that is never closed raises. ``multi_line``: Spark's own reader of such files, one task a file.
     """
     kind = detect_format(path, fmt)
     if not path_exists(spark, path):
@@ -72,6 +75,13 @@ def load_file(spark: SparkSession, path: str, fmt: str | None = None, schema=Non
             reader = reader.schema(schema)
         else:
             reader = reader.option("inferSchema", False)
+        if not multi_line:
+            found, broken = borders(spark, path)
+            if broken:
+                columns = schema if schema is not None else reader.option("multiLine", True).csv(path).schema
+                if isinstance(columns, str):
+                    columns = spark.createDataFrame([], columns).schema
+                return normalize_nulls(read_records(spark, path, found, columns, CSV_QUOTING))
         return normalize_nulls(reader.csv(path))
     if kind == "parquet":
         return spark.read.parquet(path)
