@@ -175,11 +175,17 @@ def validate_contract(df: DataFrame, contract: Contract, mode: str = "raise"):
         flagged = df.withColumn("__bad", bad_row if bad_row is not None else F.lit(False))
         for rule in contract.columns:
             if rule.unique:
-                dups = (df.groupBy(rule.name).agg(F.count(F.lit(1)).alias("__n"))
-                        .filter("__n > 1").select(F.col(rule.name).alias("__dupkey"), F.lit(True).alias("__dup")))
-                flagged = (flagged.join(dups, flagged[rule.name].eqNullSafe(dups["__dupkey"]), "left")
-                           .withColumn("__bad", F.col("__bad") | F.coalesce(F.col("__dup"), F.lit(False)))
-                           .drop("__dupkey", "__dup"))
+                key = F.col(rule.name)
+                # null keys need no join: whether there are several is one count, and they may be a third of the rows
+                nulls = df.filter(key.isNull()).limit(2).count() if rule.nullable else 0
+                dups = (df.filter(key.isNotNull()).groupBy(key.alias("__dupkey")).agg(F.count(F.lit(1)).alias("__n"))
+                        .filter("__n > 1").select("__dupkey", F.lit(True).alias("__dup")))
+                keyed = flagged.filter(key.isNotNull())
+                keyed = (keyed.join(dups, keyed[rule.name] == dups["__dupkey"], "left")
+                         .withColumn("__bad", F.col("__bad") | F.coalesce(F.col("__dup"), F.lit(False)))
+                         .drop("__dupkey", "__dup"))
+                without = flagged.filter(key.isNull())
+                flagged = keyed.unionByName(without.withColumn("__bad", F.lit(True)) if nulls > 1 else without)
         good = coerced(flagged.filter(~F.col("__bad")).drop("__bad"), contract)
         bad = flagged.filter(F.col("__bad")).drop("__bad")
         return good, bad

@@ -339,6 +339,20 @@ def pii5(spark, sf):
     return td.employers_raw(spark, sf).select("employer_id", p.hash_column("company_name").alias("company_name"))
 
 
+@q("pii5_random_salts", S.with_base() + "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT company_name) AS BIGINT) AS pseudonyms, "
+   "CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS equal_in_two_runs, CAST(count(DISTINCT company_name) AS BIGINT) AS equal_with_one_salt "
+   "FROM employers_raw")
+def pii5_random(spark, sf):
+    """Random salts: as many pseudonyms as names, all well formed, none the same in two runs; one given salt: all the same."""
+    names = td.employers_raw(spark, sf).select("company_name")
+    runs = [Pseudonymizer(salt).hash_column("company_name").alias(f"p{i}") for i, salt in enumerate([None, None, "given", "given"])]
+    both = names.select("company_name", *runs)
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("p0").alias("pseudonyms"),
+                    F.count_if(~F.col("p0").rlike("^anon_[0-9a-f]{16}$")).alias("malformed"),
+                    F.count_if(F.col("p0") == F.col("p1")).alias("equal_in_two_runs"),
+                    F.countDistinct(F.when(F.col("p2") == F.col("p3"), F.col("p2"))).alias("equal_with_one_salt"))
+
+
 # ---------------------------------------------------------------------------
 # 2.2 contracts
 # ---------------------------------------------------------------------------
@@ -610,6 +624,19 @@ def dq10(spark, sf):
     return dq.validate_interactions(_dirty_int(spark, sf), AS_OF, td.employers_raw(spark, sf))
 
 
+@q("dq10_merged_daily_states", _DQ10_SQL)
+def dq10_merged(spark, sf):
+    """The same report from kept states: one of the history, one of the rows after it."""
+    inter = _dirty_int(spark, sf)
+    later = F.coalesce(F.col("interaction_date") >= F.lit(_dt.date(2001, 7, 1)), F.lit(False))
+    path = _scratch(spark, "report-states")
+    for name, part in (("history", ~later), ("later", later)):
+        dq.report_state(inter.filter(part), dq.INTERACTION_CHECKS).write.parquet(f"{path}/{name}")
+    kept = spark.read.schema(dq.STATE_SCHEMA).parquet(f"{path}/history", f"{path}/later")
+    return dq.report_from_state(dq.merge_states(kept), dq.INTERACTION_CHECKS, "Interactions", AS_OF, inter.columns,
+                                td.employers_raw(spark, sf), "employer_id")
+
+
 _DQ9_SQL = _DEMP_BASE + _dq_sql("dirty_employers", dq.EMPLOYER_CHECKS, "Employers", _DEMP_COLS,
                                 doubles=("revenue_potential",))
 _BOTH_REPORTS = (f"reports AS (SELECT * FROM ({_DQ9_SQL}) UNION ALL SELECT * FROM ({_DQ10_SQL}))")

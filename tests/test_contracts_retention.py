@@ -101,3 +101,18 @@ def test_star_join_over_segment_and_date_attributes(spark):
     for group_by, dates in ((("shoe_size",), ("year",)), (("sector",), ("moon",))):
         with pytest.raises(ValueError, match="no dimension"):
             star.star_join(fact, dim, group_by, dates)
+
+
+def test_quarantine_of_null_keys_without_a_join(spark):
+    """Several null keys of a nullable unique column are duplicates of each other, a single one is not; a hot null key meets no join."""
+    contract = con.Contract("t", (con.ColumnRule("k", "string", nullable=True, unique=True),))
+    rows = [(None, 1), (None, 2), ("a", 3), ("a", 4), ("b", 5)]
+    for data, good_rows in ((rows, {5}), (rows[1:], {2, 5})):
+        good, bad = con.validate_contract(spark.createDataFrame(data, "k string, n int"), contract, "quarantine")
+        assert {r["n"] for r in good.collect()} == good_rows
+        assert {r["n"] for r in bad.collect()} == {n for _, n in data} - good_rows
+    strict = con.Contract("t", (con.ColumnRule("k", "string", nullable=False, unique=True),))
+    good, bad = con.validate_contract(spark.createDataFrame([(None, 0)] * 50 + rows, "k string, n int"), strict, "quarantine")
+    assert {r["n"] for r in good.collect()} == {5} and bad.count() == 54
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=>" not in plan
