@@ -36,9 +36,12 @@ MAGIC, VERSION = b"TIDS", 1
 HEADER = struct.Struct("<4sIIIQ")
 #: The four lengths that a control byte holds, first rank in the lowest bits.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
-#: Remembered pieces of a Python worker; beyond that many the memory is emptied. Longer pieces are not kept.
-MEMO_PIECES = 800_000
+#: Pieces in each of the two generations that a Python worker remembers. Longer pieces are not kept.
+MEMO_PIECES = 400_000
 MEMO_CHARS = 48
+#: Pieces that are encoded as one text, and characters of texts whose new pieces are gathered first.
+JOINED_PIECES = 2000
+CHUNK_CHARS = 1 << 20
 PART_BITS = 24
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -49,27 +52,68 @@ _ODD_SPACE = re.compile("[\0\t\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202
 
 class Encoder:
     """Ids of whole texts. The tokenizer splits a text before each run of white space that follows another character
-    and handles what lies between alone, so pieces cut there are encoded once and remembered."""
+    and handles what lies between alone, so pieces cut there are encoded once and remembered.
+
+    New pieces that are one blank and a word are encoded many at once, as one text, which costs less than one call for each: the
+    ids are cut where the bytes of their vocabulary entries end. If those ends do not meet the pieces' own (a vocabulary that is
+    not one of bytes), the pieces are encoded one by one. Pieces are remembered in two generations: when the younger is full it
+    becomes the older, from which pieces in use come back, so a worker never starts from nothing.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        self._tokenizer, self._memo = Tokenizer.from_file(path), {}
+        self._tokenizer, self._memo, self._older = Tokenizer.from_file(path), {}, {}
+        added = {i: len(t.content.encode()) for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        #: bytes of each id's entry, one character of which stands for a byte
+        self._bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for entry, i in vocabulary.items():
+            self._bytes[i] = added.get(i, len(entry))
 
     def ids(self, text: str | None) -> np.ndarray:
-        pieces, memo = _cut(text or ""), self._memo
-        new = list(set(pieces).difference(memo))
-        if new:
-            if len(memo) + len(new) > MEMO_PIECES:
-                memo.clear()
-                new = list(set(pieces))
-            found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found))
-        joined = b"".join([memo[p] for p in pieces])
-        for p in new:
-            if len(p) > MEMO_CHARS:
-                del memo[p]
-        return np.frombuffer(joined, "<u4")
+        return self.all_ids([text])[0]
+
+    def all_ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        cuts = [_cut(t or "") for t in texts]
+        found = self._encoded(set().union(*cuts))
+        return [np.frombuffer(b"".join([found[p] for p in pieces]), "<u4") for pieces in cuts]
+
+    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of these pieces (and maybe others), which are then remembered."""
+        memo, older = self._memo, self._older
+        missing = pieces.difference(memo)
+        again = {p: older[p] for p in missing if p in older}
+        memo.update(again)
+        new = list(missing.difference(again)) if again else list(missing)
+        if not new:
+            return memo
+        fresh = {}
+        words = [p for p in new if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        for start in range(0, len(words), JOINED_PIECES):
+            self._encode_joined(words[start:start + JOINED_PIECES], fresh)
+        rest = [p for p in new if p not in fresh]
+        for p, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            fresh[p] = np.array(e.ids, "<u4").tobytes()
+        long = [p for p in new if len(p) > MEMO_CHARS]
+        memo.update(fresh)
+        out = {p: memo[p] for p in pieces} if long else memo
+        for p in long:
+            del memo[p]
+        if len(memo) > MEMO_PIECES:
+            self._older, self._memo = memo, {}
+        return out
+
+    def _encode_joined(self, words: list[str], fresh: dict[str, bytes]) -> None:
+        ids = np.array(self._tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.cumsum(self._bytes[ids])
+        due = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        at = np.searchsorted(ends, due)
+        if at[-1] != len(ids) - 1 or (ends[at] != due).any():
+            return
+        raw, cut = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
+        for w, start, end in zip(words, cut, cut[1:]):
+            fresh[w] = raw[start:end]
 
 
 def _cut(text: str) -> list[str]:
@@ -80,6 +124,20 @@ def _cut(text: str) -> list[str]:
     return [first, *others] if first else others
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str | None]]]:
+    """Ids and texts of a batch, some texts at a time: as many as pass ``CHUNK_CHARS`` together."""
+    ids, texts, chars = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        ids.append(doc_id)
+        texts.append(text.as_py())
+        chars += len(texts[-1] or "")
+        if chars >= CHUNK_CHARS:
+            yield ids, texts
+            ids, texts, chars = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -152,14 +210,15 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str
                 names=["segment", "doc_ids", "n_ids", "payload"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.concatenate((encoder.ids(text.as_py()), end))
-                held_ids.append(doc_id)
-                held.append(ids)
-                n += len(ids)
-                if n >= segment_ids:
-                    yield segment()
-                    held_ids, held, n, seq = [], [], 0, seq + 1
+            for doc_ids, texts in _chunks(batch):
+                for doc_id, ids in zip(doc_ids, encoder.all_ids(texts)):
+                    ids = np.concatenate((ids, end))
+                    held_ids.append(doc_id)
+                    held.append(ids)
+                    n += len(ids)
+                    if n >= segment_ids:
+                        yield segment()
+                        held_ids, held, n, seq = [], [], 0, seq + 1
         if held:
             yield segment()
 

@@ -557,6 +557,31 @@ def test_encoder_equals_the_tokenizer():
         assert own.ids(t).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("memo,joined", [(400_000, 2000), (40, 7), (1, 1)])
+def test_joined_pieces_equal_the_tokenizer(monkeypatch, memo, joined):
+    """Pieces encoded in groups, with a memory that changes its generation all the time."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_binary, "MEMO_PIECES", memo)
+    monkeypatch.setattr(token_binary, "JOINED_PIECES", joined)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, plain = token_binary.Encoder(path), Tokenizer.from_file(path)
+    rng = random.Random(31)
+    parts = [" ", "  ", "\n", "\t", "a", "b", "the", "é", "'s", "<|endoftext|>", "12", "!!", "\u3000", "\x85", "漢字", "\u200b", "😀", "\x1c", "Ġ", "x" * 60]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + [None, ""]
+    for start in range(0, len(texts), 50):
+        for text, ids in zip(texts[start:start + 50], own.all_ids(texts[start:start + 50])):
+            assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+    assert len(own._memo) <= memo + 50 * 30 and len(own._older) <= memo + 50 * 30
+
+
+def test_a_vocabulary_that_is_not_of_bytes_is_encoded_piece_by_piece(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    plain = Tokenizer(models.WordLevel({"[U]": 0, "one": 1, "two": 2}, unk_token="[U]"))
+    plain.pre_tokenizer = pre_tokenizers.Whitespace()
+    plain.save(str(tmp_path / "words.json"))
+    assert token_binary.Encoder(str(tmp_path / "words.json")).ids("one two three  two").tolist() == [1, 2, 0, 2]
+
+
 @pytest.mark.parametrize("segment_ids", [50, 1 << 20])
 def test_written_ids_come_back(spark, docs, empty, tmp_path, segment_ids):
     from tokenizers import Tokenizer
