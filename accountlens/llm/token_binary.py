@@ -14,6 +14,7 @@ whole or not at all on any file system, and a lost executor's files are written
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -40,9 +41,11 @@ LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)
 MEMO_PIECES = 400_000
 MEMO_CHARS = 48
 #: Pieces that are encoded as one text, and characters of texts whose new pieces are gathered first.
-JOINED_PIECES = 2000
+JOINED_PIECES = 200
 CHUNK_CHARS = 1 << 20
 PART_BITS = 24
+#: Signs that a byte-level vocabulary's splitting always parts from a letter before them.
+SIGNS = ".,;:!?$%&*#"
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -54,7 +57,8 @@ class Encoder:
     """Ids of whole texts. The tokenizer splits a text before each run of white space that follows another character
     and handles what lies between alone, so pieces cut there are encoded once and remembered.
 
-    New pieces that are one blank and a word are encoded many at once, as one text, which costs less than one call for each: the
+    A sign after a letter is split off too, where the vocabulary's splitting does so, so a word is encoded once with and without
+    it. New pieces that are one blank and a word are encoded many at once, as one text, which costs less than one call for each: the
     ids are cut where the bytes of their vocabulary entries end. If those ends do not meet the pieces' own (a vocabulary that is
     not one of bytes), the pieces are encoded one by one. Pieces are remembered in two generations: when the younger is full it
     becomes the older, from which pieces in use come back, so a worker never starts from nothing.
@@ -66,6 +70,9 @@ class Encoder:
         self._tokenizer, self._memo, self._older = Tokenizer.from_file(path), {}, {}
         added = {i: len(t.content.encode()) for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        #: whether a text is split by the usual expression of byte-level vocabularies, between letters and signs too
+        splitter = json.loads(self._tokenizer.to_str()).get("pre_tokenizer") or {}
+        self._parts_signs = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") is True
         #: bytes of each id's entry, one character of which stands for a byte
         self._bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
         for entry, i in vocabulary.items():
@@ -88,14 +95,26 @@ class Encoder:
         new = list(missing.difference(again)) if again else list(missing)
         if not new:
             return memo
-        fresh = {}
-        words = [p for p in new if len(p) > 1 and p[0] == " " and not p[1].isspace()]
-        for start in range(0, len(words), JOINED_PIECES):
-            self._encode_joined(words[start:start + JOINED_PIECES], fresh)
-        rest = [p for p in new if p not in fresh]
+        fresh: dict[str, bytes] = {}
+        signed = []
+        if self._parts_signs:
+            for p in new:
+                if p[-1] in SIGNS and (core := p.rstrip(SIGNS)) and core[-1].isalpha():
+                    signed.append((p, core, p[len(core):]))
+            whole = {p for p, _, _ in signed}
+            parts = {x for _, core, tail in signed for x in (core, tail) if x not in memo}
+            parts.update(p for p in new if p not in whole)
+        else:
+            parts = new
+        words = [p for p in parts if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        if words:
+            self._encode_joined([words[i:i + JOINED_PIECES] for i in range(0, len(words), JOINED_PIECES)], fresh)
+        rest = [p for p in parts if p not in fresh]
         for p, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
             fresh[p] = np.array(e.ids, "<u4").tobytes()
-        long = [p for p in new if len(p) > MEMO_CHARS]
+        for p, core, tail in signed:
+            fresh[p] = (fresh[core] if core in fresh else memo[core]) + (fresh[tail] if tail in fresh else memo[tail])
+        long = [p for p in fresh if len(p) > MEMO_CHARS]
         memo.update(fresh)
         out = {p: memo[p] for p in pieces} if long else memo
         for p in long:
@@ -104,16 +123,18 @@ class Encoder:
             self._older, self._memo = memo, {}
         return out
 
-    def _encode_joined(self, words: list[str], fresh: dict[str, bytes]) -> None:
-        ids = np.array(self._tokenizer.encode("".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.cumsum(self._bytes[ids])
-        due = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
-        at = np.searchsorted(ends, due)
-        if at[-1] != len(ids) - 1 or (ends[at] != due).any():
-            return
-        raw, cut = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
-        for w, start, end in zip(words, cut, cut[1:]):
-            fresh[w] = raw[start:end]
+    def _encode_joined(self, groups: list[list[str]], fresh: dict[str, bytes]) -> None:
+        """The ids of groups of words, each group encoded as one text."""
+        found = self._tokenizer.encode_batch_fast(["".join(words) for words in groups], add_special_tokens=False)
+        for words, e in zip(groups, found):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum(self._bytes[ids])
+            due = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+            at = np.searchsorted(ends, due)
+            if at[-1] != len(ids) - 1 or (ends[at] != due).any():
+                continue
+            raw, cut = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
+            fresh.update(zip(words, [raw[a:b] for a, b in zip(cut, cut[1:])]))
 
 
 def _cut(text: str) -> list[str]:
