@@ -43,9 +43,9 @@ POLICIES = {
     "v2": sum(BIT.values()),
     "v3": sum(BIT.values()) - BIT["too_long"],  # length alone says nothing against a text
 }
-CURRENT = "v2"
+CURRENT = "v3"
 #: The policy of the pipeline.
-PIPELINE = "v3"
+PIPELINE = CURRENT
 
 
 def _repeat_words(ids: np.ndarray) -> int:
@@ -92,15 +92,18 @@ def _measures(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def with_ledger(docs: DataFrame, column: str, text_col: str = "text") -> DataFrame:
-    """Append the struct ``column``: the measurements and ``fail_bits``. Only the text goes to Python and back."""
+    """Append the struct ``column``: the measurements and ``fail_bits``. Only the text goes to Python and back.
+
+    A null text counts as empty (0 words: too short). Repeated rows get equal ledgers; other columns stay, whatever their names.
+    """
     ship_package(docs.sparkSession)
-    raw = F.col("__measures__")
-    bits = sum((F.when(F.expr(_of(condition, "__measures__")), F.lit(1 << i)).otherwise(F.lit(0))
+    held = free_name(docs, "__measures__")
+    raw = F.col(held)
+    bits = sum((F.when(F.expr(_of(condition, held)), F.lit(1 << i)).otherwise(F.lit(0))
                 for i, (_, condition) in enumerate(RULES)), F.lit(0)).cast("long")
     measures = F.pandas_udf(_measures, ", ".join(f"{m} long" for m in MEASURES))
-    measured = docs.withColumn("__measures__", measures(F.col(text_col)))
-    return measured.withColumn(column, F.struct(*[raw[m].alias(m) for m in MEASURES], bits.alias("fail_bits"))).drop(
-        "__measures__")
+    measured = docs.withColumn(held, measures(F.col(text_col)))
+    return measured.withColumn(column, F.struct(*[raw[m].alias(m) for m in MEASURES], bits.alias("fail_bits"))).drop(held)
 
 
 def _of(condition: str, struct: str) -> str:
@@ -124,7 +127,10 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def filter_documents(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, with all their columns and nothing else."""
+    """The rows of ``docs`` that the policy keeps, with all their columns and nothing else.
+
+    A null or empty text is too short and goes. Repeated rows stay or go together. An empty table gives an empty result.
+    """
     column = free_name(docs, "__ledger")
     return with_ledger(docs, column, text_col).where(passes(F.col(column)["fail_bits"], policy)).select(*docs.columns)
 
@@ -146,13 +152,20 @@ def ablations(rows: DataFrame, policies: dict[str, int] | None = None) -> DataFr
         count(failed.bitwiseAND(F.bitwise_not(F.col("bit"))) == 0).alias("kept_without"))
 
 
+def rejected_alone_by(bits: Column, policy: str = CURRENT) -> Column:
+    """The rule without which the policy would keep the document; null if there is none or more than one is needed."""
+    failed = bits.bitwiseAND(F.lit(POLICIES[policy]))
+    return F.coalesce(*[F.when(failed == bit, F.lit(name)) for name, bit in BIT.items()])
+
+
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query op3: measurements, the base rules' outcome and the current policy's verdict for every document."""
+    """Query op3: measurements, the base rules' outcome, the current policy's verdict and the rule that alone decides it."""
     rows = ledger(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        (~passes(F.col("fail_bits"), "base")).alias("base_failed"),
                        passes(F.col("fail_bits")).alias("kept"),
-                       "fail_bits", "n_lines", "n_stutter", "n_upper")
+                       "fail_bits", "n_lines", "n_stutter", "n_upper",
+                       rejected_alone_by(F.col("fail_bits")).alias("rejected_alone_by"))
 
 
 ORACLE_SQL = r"""WITH t AS (
@@ -185,5 +198,6 @@ ORACLE_SQL = r"""WITH t AS (
     + (CASE WHEN 2 * n_upper > word_chars THEN 256 ELSE 0 END) AS fail_bits
   FROM m
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, fail_bits = 0 AS kept,
-       fail_bits::BIGINT AS fail_bits, n_lines, n_stutter, n_upper FROM b"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, fail_bits & POLICY = 0 AS kept,
+       fail_bits::BIGINT AS fail_bits, n_lines, n_stutter, n_upper, CASE fail_bits & POLICY RULES END AS rejected_alone_by
+FROM b""".replace("POLICY", str(POLICIES[CURRENT])).replace("RULES", " ".join(f"WHEN {b} THEN '{n}'" for n, b in BIT.items()))

@@ -48,7 +48,9 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, id_co
     total = rows.count()
     buckets = max(1, -(-total // bucket_rows))
     rows = rows.drop("shard", "slot")
-    names = {n: free_name(rows, n) for n in ("__stratum", "__key", "__tie", "__rank", "__size", "__fraction", "__part")}
+    names = {n: free_name(rows, n) for n in ("__stratum", "__key", "__tie", "__rank", "__size", "__fraction", "__part", "__before",
+                                             "__position")}
+    before, at = names["__before"], names["__position"]
     part, fraction = names["__part"], names["__fraction"]
     strata = rows.select(stratum(F.col(source_col)).alias("stratum")).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
     keyed = (rows.withColumn(names["__tie"], F.xxhash64(*rows.columns))
@@ -59,14 +61,14 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, id_co
     placed = (placed
               .withColumn(part, F.expr(f"((2 * `{names['__rank']}` + 1) * {buckets}) div (2 * `{names['__size']}`)"))
               .withColumn(fraction, (2 * F.col(names["__rank"]) + 1).cast("double") / (2 * F.col(names["__size"]))))
-    starts = _bucket_offsets(strata, "n", buckets).select(F.col("bucket").alias(part), F.col("before").alias("__before"))
+    starts = _bucket_offsets(strata, "n", buckets).select(F.col("bucket").alias(part), F.col("before").alias(before))
     order = Window.partitionBy(part).orderBy(fraction, names["__key"], names["__stratum"], names["__tie"])
-    position = F.col("__before") + F.row_number().over(order) - 1
+    position = F.col(before) + F.row_number().over(order) - 1
     return (placed.join(starts, part)
-            .withColumn("__position", position)
-            .withColumn("shard", F.expr(f"(__position * {shards}) div {max(total, 1)}").cast("int"))
-            .withColumn("slot", F.col("__position") - F.expr(f"(shard * {total}L + {shards - 1}) div {shards}"))
-            .drop("__position", "__before", *names.values()))
+            .withColumn(at, position)
+            .withColumn("shard", F.expr(f"(`{at}` * {shards}) div {max(total, 1)}").cast("int"))
+            .withColumn("slot", F.col(at) - F.expr(f"(shard * {total}L + {shards - 1}) div {shards}"))
+            .drop(*names.values()))
 
 
 def deal(rows: DataFrame, position_col: str, shards: int = SHARDS) -> DataFrame:

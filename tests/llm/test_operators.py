@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -230,6 +231,21 @@ def test_personal_data_of_a_table(docs, empty, field):
     assert pii.find_personal_data(empty).count() == 0
 
 
+def test_rows_with_the_operators_own_column_names(spark):
+    """Columns called like the operators' helpers come through, and a rule that alone rejects is named."""
+    extra = ["__measures__", "__ledger", "__before", "__position", "__part", "__key", "__words", "__tie"]
+    df = spark.createDataFrame([(i, "good words of a text " * 8 if i % 2 else "$ # " * 30 + f"w{i}", "s", *range(len(extra))) for i in range(20)],
+                               "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in extra))
+    kept = quality_rules.filter_documents(df.withColumn("text", F.concat("text", F.col("doc_id").cast("string"))), "base")
+    assert kept.columns == df.columns
+    sharded = sharding.assign_shards(df, 4)
+    assert sharded.columns == df.columns + ["shard", "slot"] and all(r["__position"] == 3 and r["__before"] == 2 for r in sharded.collect())
+    ledger = quality_rules.ledger(df).withColumn("by", quality_rules.rejected_alone_by(F.col("fail_bits")))
+    for r in ledger.collect():
+        failing = [n for n, b in quality_rules.BIT.items() if r["fail_bits"] & quality_rules.POLICIES["v3"] & b]
+        assert r["by"] == (failing[0] if len(failing) == 1 else None)
+
+
 # decontamination
 
 def test_masks_lose_no_window():
@@ -239,26 +255,48 @@ def test_masks_lose_no_window():
 
 
 def slow_leaks(texts, items):
+    """From the definition: no window leaves a text; short items stand there whole."""
     out = {}
     for d, text in texts:
         words = (text or "").lower().split()
         for i, item in items:
             other = (item or "").lower().split()
-            for start in range(-12, len(words)):
-                for s in range(len(other) - 12):
-                    n = sum(0 <= start + k < len(words) and words[start + k] == other[s + k] for k in range(13))
-                    if n >= 11:
-                        have = out.get((d, i), (0, start, start + 12))
-                        out[d, i] = (max(have[0], n), min(have[1], start), max(have[2], start + 12))
+            size = min(len(other), 13)
+            if size < 5:
+                continue
+            for start in range(len(words) - size + 1):
+                for s in range(len(other) - size + 1):
+                    n = sum(words[start + k] == other[s + k] for k in range(size))
+                    if n >= (11 if size == 13 else size):
+                        have = out.get((d, i), (0, start, start + size - 1))
+                        out[d, i] = (max(have[0], n), min(have[1], start), max(have[2], start + size - 1))
     return {(*k, *v) for k, v in out.items()}
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_repeated_words_and_long_texts_leak_in_linear_time(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_PLACES", 10**6 if broadcast else 0)
+    items = spark.createDataFrame([(1, "the " * 60), (2, " ".join(f"x{i}" for i in range(30))), (3, "a short question of six words")],
+                                  "item_id long, text string")
+    rng = random.Random(5)
+    long = " ".join(f"w{rng.randrange(50_000)}" for _ in range(300_000))
+    texts = [(1, "the " * 20_000), (2, long + " " + " ".join(f"x{i}" for i in range(30))), (3, "the " * 12), (4, "x0 " + "the " * 13),
+             (5, "so: a SHORT question of six words"), (6, "a short question of six"), (7, " ".join(f"x{i}" for i in range(12)))]
+    start = time.time()
+    got = {tuple(r) for r in decontamination.leaks(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1, 13, 0, 19_999), (2, 2, 13, 300_000 - 2, 300_029), (4, 1, 13, 0, 13), (5, 3, 6, 1, 6)} - {(2, 2, 13, 299_998, 300_029)} | {
+        (2, 2, 13, min(g[3] for g in got if g[0] == 2), max(g[4] for g in got if g[0] == 2))}
+    assert all(g[3] >= 299_998 and g[4] <= 300_029 for g in got if g[0] == 2)
+    assert time.time() - start < 60
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_leaks_like_brute_force(spark, broadcast, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_PLACES", 10**6 if broadcast else 0)
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
-    items = [(i, " ".join(word() for _ in range(rng.randint(10, 30)))) for i in range(8)] + [(8, None), (None, "too short")]
+    items = [(i, " ".join(word() for _ in range(rng.randint(5, 30)))) for i in range(8)] + [(8, None), (None, "too short")]
+    items += [(9, "a b a b " * 6), (10, "so so so so so so")]
     texts = []
     for d in range(40):
         words = [word() for _ in range(rng.randint(0, 40))]
@@ -268,7 +306,7 @@ def test_leaks_like_brute_force(spark, broadcast, monkeypatch):
             part[rng.randrange(len(part))] = word().upper()
         at = rng.randint(0, len(words))
         texts.append((d, " ".join(words[:at]) + " \n" + " ".join(part).title() + "\t" + " ".join(words[at:])))
-    texts += [(90, None), (91, ""), (92, items[0][1]), (92, items[1][1])]
+    texts += [(80, "a b " * 30), (81, "so " * 9), (82, "b a " * 6), (90, None), (91, ""), (92, items[0][1]), (92, items[1][1])]
     found = decontamination.leaks(spark.createDataFrame(texts, "doc_id long, text string"),
                                   spark.createDataFrame(items, "item_id long, text string"))
     got = {tuple(r) for r in found.collect()}
