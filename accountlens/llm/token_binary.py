@@ -38,7 +38,7 @@ HEADER = struct.Struct("<4sIIIQ")
 #: The four lengths that a control byte holds, first rank in the lowest bits.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 #: Pieces in each of the two generations that a Python worker remembers. Longer pieces are not kept.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
 MEMO_CHARS = 48
 #: Pieces that are encoded as one text, and characters of texts whose new pieces are gathered first.
 JOINED_PIECES = 200
@@ -83,45 +83,46 @@ class Encoder:
 
     def all_ids(self, texts: list[str | None]) -> list[np.ndarray]:
         cuts = [_cut(t or "") for t in texts]
-        found = self._encoded(set().union(*cuts))
-        return [np.frombuffer(b"".join([found[p] for p in pieces]), "<u4") for pieces in cuts]
+        memo = self._memo
+        missing = {p for pieces in cuts for p in pieces if p not in memo}
+        if missing:
+            memo = self._remember(missing)
+        get = memo.__getitem__
+        out = [np.frombuffer(b"".join(map(get, pieces)), "<u4") for pieces in cuts]
+        for p in missing:
+            if len(p) > MEMO_CHARS:
+                del memo[p]
+        if len(memo) > MEMO_PIECES:
+            self._older, self._memo = memo, {}
+        return out
 
-    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
-        """The ids of these pieces (and maybe others), which are then remembered."""
+    def _remember(self, missing: set[str]) -> dict[str, bytes]:
+        """The younger memory, with the ids of these pieces."""
         memo, older = self._memo, self._older
-        missing = pieces.difference(memo)
-        again = {p: older[p] for p in missing if p in older}
+        again = {p: older[p] for p in missing if p in older} if older else {}
         memo.update(again)
-        new = list(missing.difference(again)) if again else list(missing)
-        if not new:
-            return memo
+        new = [p for p in missing if p not in again] if again else missing
         fresh: dict[str, bytes] = {}
-        signed = []
+        signed: list[tuple[str, str]] = []
+        parts = new
         if self._parts_signs:
-            for p in new:
-                if p[-1] in SIGNS and (core := p.rstrip(SIGNS)) and core[-1].isalpha():
-                    signed.append((p, core, p[len(core):]))
-            whole = {p for p, _, _ in signed}
-            parts = {x for _, core, tail in signed for x in (core, tail) if x not in memo}
-            parts.update(p for p in new if p not in whole)
-        else:
-            parts = new
+            ending = [p for p in new if p[-1] in SIGNS]
+            signed = [(p, core) for p in ending if (core := p.rstrip(SIGNS)) and core[-1].isalpha()]
+            parts = set(new).difference([p for p, _ in signed])
+            parts.update(x for x in {core for _, core in signed} | {p[len(core):] for p, core in signed} if x not in memo)
         words = [p for p in parts if len(p) > 1 and p[0] == " " and not p[1].isspace()]
         if words:
             self._encode_joined([words[i:i + JOINED_PIECES] for i in range(0, len(words), JOINED_PIECES)], fresh)
         rest = [p for p in parts if p not in fresh]
         for p, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
             fresh[p] = np.array(e.ids, "<u4").tobytes()
-        for p, core, tail in signed:
-            fresh[p] = (fresh[core] if core in fresh else memo[core]) + (fresh[tail] if tail in fresh else memo[tail])
-        long = [p for p in fresh if len(p) > MEMO_CHARS]
         memo.update(fresh)
-        out = {p: memo[p] for p in pieces} if long else memo
-        for p in long:
-            del memo[p]
-        if len(memo) > MEMO_PIECES:
-            self._older, self._memo = memo, {}
-        return out
+        for p, core in signed:
+            memo[p] = memo[core] + memo[p[len(core):]]
+        for p in fresh:
+            if len(p) > MEMO_CHARS and p not in missing:
+                del memo[p]
+        return memo
 
     def _encode_joined(self, groups: list[list[str]], fresh: dict[str, bytes]) -> None:
         """The ids of groups of words, each group encoded as one text."""
