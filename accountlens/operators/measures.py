@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from accountlens import constants as C
 from accountlens.functions.expressions import as_date_lit, in_months_window, safe_divide
 from accountlens.operators.calendar import monthly_counts, null_safe_join, previous_month
+from accountlens.session import materialize
 
 
 def _by(by) -> list[str]:
@@ -181,52 +182,88 @@ def rolling_3m(interactions: DataFrame, employers: DataFrame | None = None, by=(
     (at most ``months`` + 1 candidates, filtered exactly); no range join.
     """
     by = _by(by)
-    fact = _attach(interactions, employers, by)
-    daily = fact.groupBy(*by, F.col("interaction_date").alias("date")).agg(F.sum("n").alias("interactions"))
-    last_day = daily.agg(F.max("date")).first()[0]
-    exploded = daily.select(*by, "date", "interactions", F.explode(F.sequence(F.lit(0), F.lit(months))).alias("k"))
+    daily, _, last_day = _daily_counts(interactions, employers, by)
+    exploded = daily.select(*by, "date", F.col("n").alias("interactions"), F.explode(F.sequence(F.lit(0), F.lit(months))).alias("k"))
     exploded = exploded.withColumn("month_end", F.least(
         F.last_day(F.add_months(F.col("date"), F.col("k").cast("int"))), F.lit(last_day).cast("date")))
     # the months beyond the calendar end collapse onto it: one row per (day, month end)
     inside = exploded.filter(in_months_window(F.col("date"), F.col("month_end"), months)).drop("k").distinct()
     agg = inside.groupBy(*by, "month_end").agg(F.sum("interactions").cast("long").alias("window_interactions"),
                                              F.count(F.lit(1)).cast("long").alias("active_days"))
-    counts = monthly_counts(fact, "interaction_date", by, dense, "n")
+    counts = monthly_counts(daily, "date", by, dense, "n")
     counts = counts.withColumn("month_end", F.least(F.last_day("month_start"), F.lit(last_day).cast("date")))
     out = null_safe_join(counts, agg, [*by, "month_end"])
     return out.select(*by, "month_start", "interactions",
                       safe_divide(F.col("window_interactions"), F.col("active_days")).alias("rolling_3m_interactions"))
 
 
+def _rolling_steps(daily: DataFrame, by: list, months: int) -> DataFrame:
+    """One row for each day on which the rolling window of a group changes: ``date``, ``interactions`` of that day, the
+    window's ``window_interactions`` and ``active_days``, and ``next_date``, the group's next change (null: none).
+
+    ``daily`` has one row per (group, date) with its count ``n``. A day enters the window on its own date and leaves it on
+    the first date x with ``add_months(x, -months) >= date``: the same day of a later month or, where that month is too
+    short to have it, the first of the month after. Both events come out of one pass over ``daily``; a running sum over
+    the events of a group is the window.
+    """
+    later = F.add_months("date", months)
+    leaves = F.when(F.add_months(later, -months) >= F.col("date"), later).otherwise(F.date_add(later, 1))
+    n = F.col("n").cast("long")
+    events = F.explode(F.array(
+        F.struct(F.col("date"), n.alias("interactions"), n.alias("change"), F.lit(1).alias("days")),
+        F.struct(leaves.alias("date"), F.lit(0).cast("long").alias("interactions"), (-n).alias("change"),
+                 F.lit(-1).alias("days")))).alias("event")
+    steps = daily.select(*by, events).select(*by, "event.*").groupBy(*by, "date").agg(
+        *[F.sum(c).alias(c) for c in ("interactions", "change", "days")])
+    order = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("date")
+    until_now = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return steps.select(*by, "date", "interactions", F.sum("change").over(until_now).alias("window_interactions"),
+                        F.sum("days").over(until_now).alias("active_days"), F.lead("date").over(order).alias("next_date"))
+
+
+def _daily_counts(interactions: DataFrame, employers: DataFrame | None, by: list) -> tuple[DataFrame, object, object]:
+    """The (group, date) counts ``n``, computed once, with their first and last date; rows without a date take no part."""
+    daily = materialize(_attach(interactions, employers, by).where(F.col("interaction_date").isNotNull())
+                        .select(*by, F.col("interaction_date").alias("date"), "n"))
+    return daily, *daily.agg(F.min("date"), F.max("date")).first()
+
+
+def rolling_3m_changes(interactions: DataFrame, employers: DataFrame | None = None, by=(),
+                       months: int = C.ROLLING_WINDOW_MONTHS) -> DataFrame:
+    """M10 at day grain without the calendar: one row for each stretch of days on which a group's rolling value stands.
+
+    ``date`` to ``until`` (both included) is the stretch, ``interactions`` the count of its first day (the others have
+    none). A group has at most two rows for each of its active days, however long the calendar, so grouping by employer
+    stays in proportion to the interactions. The last stretch ends with the calendar: the last interaction of all groups.
+    """
+    by = _by(by)
+    daily, _, hi = _daily_counts(interactions, employers, by)
+    end = F.lit(hi).cast("date")
+    return _rolling_steps(daily, by, months).where(F.col("date") <= end).select(
+        *by, "date", F.least(F.date_sub("next_date", 1), end).alias("until"), "interactions",
+        safe_divide(F.col("window_interactions"), F.col("active_days")).alias("rolling_3m_interactions"))
+
+
 def rolling_3m_daily(interactions: DataFrame, employers: DataFrame | None = None, by=(),
                      months: int = C.ROLLING_WINDOW_MONTHS) -> DataFrame:
     """M10 at day grain: for every calendar day d, the mean daily count over the days with
     interactions in ``(add_months(d, -months), d]``.
 
-    Running sums of counts and of active days over the dense (group, day) calendar; the value at
-    the window start comes from an equi-join of that calendar with itself on the computed key
-    ``add_months(date, -months)`` (no range join). Windows run over (group, day) aggregates only.
+    The rows of ``rolling_3m_changes`` spread over their days, and each group's days before its first interaction: a
+    row for every (group, day) of the calendar. For many groups use ``rolling_3m_changes``.
     """
     by = _by(by)
-    daily = daily_fact(interactions, employers, by)
-    lo_hi = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    if lo_hi["lo"] is None:
-        return daily.select(*by, "date", "interactions", F.lit(None).cast("double").alias("rolling_3m_interactions"))
-    days = F.explode(F.sequence(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"]), F.expr("INTERVAL 1 DAY")))
-    groups = daily.select(*by).distinct() if by else None
-    grid = (groups.select(*by, days.alias("date")) if by else daily.sparkSession.range(1).select(days.alias("date")))
-    dense = (daily.unionByName(grid.withColumn("interactions", F.lit(0).cast("long")))
-             .groupBy(*by, "date").agg(F.sum("interactions").alias("interactions")))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    run = (dense.withColumn("cum_n", F.sum("interactions").over(w))
-           .withColumn("cum_days", F.sum((F.col("interactions") > 0).cast("long")).over(w)))
-    start = run.select(*by, F.col("date").alias("start_date"), F.col("cum_n").alias("start_n"),
-                       F.col("cum_days").alias("start_days"))
-    joined = null_safe_join(run.withColumn("start_date", F.add_months("date", -months)), start, [*by, "start_date"])
-    n = F.col("cum_n") - F.coalesce("start_n", F.lit(0))
-    d = F.col("cum_days") - F.coalesce("start_days", F.lit(0))
-    return joined.select(*by, "date", "interactions", safe_divide(n, d).alias("rolling_3m_interactions"))
+    daily, lo, hi = _daily_counts(interactions, employers, by)
+    steps = _rolling_steps(daily, by, months)
+    order = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("date")
+    start = F.when(F.row_number().over(order) == 1, F.lit(lo).cast("date")).otherwise(F.col("date"))
+    end = F.lit(hi).cast("date")
+    spread = (steps.withColumn("start", start).where(F.col("date") <= end)
+              .withColumn("day", F.explode(F.sequence("start", F.least(F.date_sub("next_date", 1), end)))))
+    value = safe_divide(F.col("window_interactions"), F.col("active_days"))
+    return spread.select(*by, F.col("day").alias("date"),
+                         F.when(F.col("day") == F.col("date"), F.col("interactions")).otherwise(0).alias("interactions"),
+                         F.when(F.col("day") >= F.col("date"), value).alias("rolling_3m_interactions"))
 
 
 def _attach(interactions: DataFrame, employers: DataFrame | None, by) -> DataFrame:

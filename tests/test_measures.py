@@ -1,6 +1,10 @@
 """KPI measures and time intelligence (M1-M15, GLO1-GLO2, DIM1)."""
 
+import calendar
 import datetime as dt
+import random
+from collections import Counter
+from datetime import timedelta
 
 import pytest
 
@@ -137,6 +141,51 @@ def test_m10_daily_grain(interactions, employers):
     assert by[("retail", D(2024, 5, 1))] == pytest.approx(1.0)
 
 
+def _window_start(day, months):
+    """``day`` some months earlier, or that month's last day."""
+    month = day.year * 12 + day.month - 1 - months
+    last = calendar.monthrange(month // 12, month % 12 + 1)[1]
+    return D(month // 12, month % 12 + 1, min(day.day, last))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_m10_changes_and_days_by_definition(spark, seed):
+    """Changes by employer, spread over their days, and the daily form: both equal the mean over the window's days."""
+    rng = random.Random(seed)
+    first = D(2023, 11, 25)
+    facts = [(rng.choice(["a", "b", None]), first + timedelta(days=rng.choice([3, 5, 6, 35, 95, 96, rng.randrange(300)])))
+             for _ in range(60)] + [("late", D(2024, 8, 31)), ("early", first), ("a", None)]
+    inter = spark.createDataFrame(facts, "employer_id string, interaction_date date")
+    counts = Counter(f for f in facts if f[1])
+    lo, hi = min(d for _, d in counts), max(d for _, d in counts)
+    want = {}
+    for e in {e for e, _ in counts}:
+        for k in range((hi - lo).days + 1):
+            day = lo + timedelta(days=k)
+            inside = [n for (x, d), n in counts.items() if x == e and _window_start(day, 3) < d <= day]
+            want[e, day] = (counts.get((e, day), 0), sum(inside) / len(inside) if inside else None)
+    changes = ms.rolling_3m_changes(inter, by=["employer_id"]).collect()
+    assert len(changes) <= 2 * len(counts)
+    spread = {}
+    for r in changes:
+        for k in range((r["until"] - r["date"]).days + 1):
+            key = r["employer_id"], r["date"] + timedelta(days=k)
+            assert key not in spread
+            spread[key] = (0 if k else r["interactions"], r["rolling_3m_interactions"])
+    assert spread == {k: v for k, v in want.items() if k in spread}
+    assert all(v == (0, None) for k, v in want.items() if k not in spread)
+    daily = ms.rolling_3m_daily(inter, by=["employer_id"]).collect()
+    assert len(daily) == len(want)
+    assert {(r["employer_id"], r["date"]): (r["interactions"], r["rolling_3m_interactions"]) for r in daily} == want
+
+
+def test_m10_daily_of_nothing_and_its_plan(spark, interactions):
+    nothing = interactions.where("1 = 0")
+    assert ms.rolling_3m_daily(nothing).collect() == [] == ms.rolling_3m_changes(nothing, by=["employer_id"]).collect()
+    plan = ms.rolling_3m_changes(interactions, by=["employer_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_sparse_months_same_values(interactions):
     dense = {r["month_start"]: r for r in ms.mom_growth(interactions).collect()}
     sparse = {r["month_start"]: r for r in ms.mom_growth(interactions, dense=False).collect()}
