@@ -31,6 +31,8 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasMaxIter, HasSeed, HasTol
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,8 +225,11 @@ class _SegmenterParams(HasSeed, HasMaxIter, HasTol):
                          rowsPerPartition=50_000, parallelism=8, solver="batched")
 
 
-class RFMSegmenter(Estimator, _SegmenterParams):
-    """Fits RFM scaling, K-Means and the cluster ranking; see module docstring for the plan."""
+class RFMSegmenter(Estimator, _SegmenterParams, DefaultParamsWritable, DefaultParamsReadable):
+    """Fits RFM scaling, K-Means and the cluster ranking; see module docstring for the plan.
+
+    ``save(path)`` and ``RFMSegmenter.load(path)`` keep the parameters.
+    """
 
     @keyword_only
     def __init__(self, *, asOf=None, nSegments=None, nInit=None, seed=None, maxIter=None, tol=None,
@@ -370,8 +375,45 @@ def _complete(cols) -> Column:
     return cond
 
 
-class RFMSegmenterModel(Model, _SegmenterParams):
-    """Fitted state: min/max of the RFM inputs, centres and the cluster -> segment ranking."""
+class _ModelWriter(MLWriter):
+    """Writes a fitted model as one metadata file: its parameters and its fitted state (under 30 numbers)."""
+
+    def __init__(self, instance: "RFMSegmenterModel"):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        m = self.instance
+        fitted = {"lows": [_number(x) for x in m.lows], "highs": [_number(x) for x in m.highs],
+                  "centres": [[_number(x) for x in c] for c in m.centres],
+                  "rankMap": [[int(k), int(v)] for k, v in sorted(m.rank_map.items())]}
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata={"fitted": fitted})
+
+
+class _ModelReader(MLReader):
+    def load(self, path: str) -> "RFMSegmenterModel":
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        if "fitted" not in metadata:
+            raise ValueError(f"{path} holds no fitted segmenter model but a {metadata['class']}")
+        fitted = metadata["fitted"]
+        model = RFMSegmenterModel(lows=fitted["lows"], highs=fitted["highs"], centres=fitted["centres"],
+                                  rank_map=dict(map(tuple, fitted["rankMap"])))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+def _number(x):
+    """A number as JSON keeps it exactly: whole numbers and doubles; null stays. Scoring reads bounds as doubles."""
+    return x if x is None or isinstance(x, int) else float(x)
+
+
+class RFMSegmenterModel(Model, _SegmenterParams, MLWritable, MLReadable):
+    """Fitted state: min/max of the RFM inputs, centres and the cluster -> segment ranking.
+
+    ``save(path)`` writes it wherever Spark writes; ``RFMSegmenterModel.load(path)`` scores as the saved model does, bit
+    for bit. ``write().overwrite().save(path)`` replaces an earlier one.
+    """
 
     def __init__(self, lows=None, highs=None, centres=None, rank_map=None):
         super().__init__()
@@ -380,6 +422,13 @@ class RFMSegmenterModel(Model, _SegmenterParams):
         self.centres = centres
         self.rank_map = rank_map
 
+    def write(self) -> MLWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ModelReader()
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         feats = compute_rfm(dataset, self.getOrDefault("asOf"), self.getOrDefault("lastContactCol"))
         scored = _with_scores(feats, self.lows, self.highs)

@@ -26,7 +26,7 @@ from accountlens.operators.privacy import Pseudonymizer, redact_column
 from accountlens.operators.profiles import segment_profile_report, segment_profiles
 from accountlens.functions.expressions import in_months_window, safe_divide, whole_days_since
 from accountlens.plans import sqlparts as S
-from accountlens.session import materialize
+from accountlens.session import materialize, scratch_path
 from accountlens.sources import testdata as td
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,6 +236,16 @@ def seg11_given(spark, sf):
                                               "segment_priority", "segment_action", "priority_score")
 
 
+@q("seg11_saved_model", _KMEANS_SQL + "SELECT employer_id, rfm_score, cluster, segment_id, segment_name, priority_score FROM segmented")
+def seg11_saved(spark, sf):
+    """The fitted model is saved, loaded and scores the portfolio."""
+    emp = materialize(_emp(spark, sf))
+    path = scratch_path(spark, "segmenter")
+    seg.RFMSegmenter(asOf=str(AS_OF), **_FIXED_FIT).fit(emp).save(path)
+    return seg.RFMSegmenterModel.load(path).transform(emp).select(
+        "employer_id", "rfm_score", "cluster", "segment_id", "segment_name", "priority_score")
+
+
 @q("seg12_given_start_sizes", _KMEANS_SQL + "SELECT segment_name, CAST(count(*) AS BIGINT) AS count FROM segmented "
    "GROUP BY segment_name")
 def seg12_given(spark, sf):
@@ -820,6 +830,22 @@ def m10_daily(spark, sf):
     return ms.rolling_3m_daily(_inter(spark, sf))
 
 
+@q("m10_rolling_3m_changes", S.with_base(
+    "daily AS (SELECT consultant_id AS c, interaction_date AS d, count(*) AS n FROM interactions GROUP BY 1, 2)",
+    "b AS (SELECT min(d) AS lo, max(d) AS hi FROM daily)",
+    "days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS x FROM b)",
+    "gone AS (SELECT e.d AS d, min(x) AS x FROM (SELECT DISTINCT d FROM daily) e JOIN days ON x > e.d "
+    "AND x <= e.d + INTERVAL 5 MONTH AND CAST(x - INTERVAL 3 MONTH AS DATE) >= e.d GROUP BY e.d)",
+    "steps AS (SELECT c, d AS x FROM daily UNION SELECT c, gone.x FROM daily JOIN gone USING (d))",
+    "win AS (SELECT s.c, s.x, sum(CASE WHEN d = s.x THEN n ELSE 0 END) AS today, sum(n) AS n, count(n) AS days FROM steps s "
+    "LEFT JOIN daily ON daily.c IS NOT DISTINCT FROM s.c AND d <= s.x AND d > CAST(s.x - INTERVAL 3 MONTH AS DATE) GROUP BY s.c, s.x)")
+   + "SELECT c AS consultant_id, x AS date, CAST(coalesce(lead(x) OVER (PARTITION BY c ORDER BY x) - 1, (SELECT hi FROM b)) "
+   "AS DATE) AS until, CAST(today AS BIGINT) AS interactions, CASE WHEN days > 0 THEN CAST(n AS DOUBLE) / CAST(days AS DOUBLE) "
+   "END AS rolling_3m_interactions FROM win")
+def m10_changes(spark, sf):
+    return ms.rolling_3m_changes(_inter(spark, sf), by=["consultant_id"])
+
+
 @q("m11_avg_time_to_fill", S.with_base() + "SELECT status, avg(date_diff('day', open_date, filled_date)) AS avg_time_to_fill "
    "FROM vacancies GROUP BY status")
 def m11(spark, sf):
@@ -1048,7 +1074,6 @@ def ext5_one(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _scratch(spark, name):
-    from accountlens.session import scratch_path
     return scratch_path(spark, name)
 
 

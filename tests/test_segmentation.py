@@ -302,3 +302,25 @@ def test_fit_from_another_working_directory(tmp_path):
     ) % (repo, str(tmp_path / "ckpt"))
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True, timeout=600)
     assert "ROWS 30" in out.stdout, out.stderr[-2000:]
+
+
+def test_saved_model_scores_like_the_fitted_one(sample_employers, tmp_path):
+    estimator = seg.RFMSegmenter(asOf=str(AS_OF), nInit=3, nSegments=3)
+    estimator.save(str(tmp_path / "estimator"))
+    again = seg.RFMSegmenter.load(str(tmp_path / "estimator"))
+    assert again.uid == estimator.uid and again.extractParamMap() == estimator.extractParamMap()
+    model = again.fit(sample_employers)
+    path = str(tmp_path / "model")
+    model.save(path)
+    loaded = seg.RFMSegmenterModel.load(path)
+    assert (loaded.uid, loaded.lows, loaded.highs, loaded.centres, loaded.rank_map) == (
+        model.uid, model.lows, model.highs, model.centres, model.rank_map)
+    assert loaded.getOrDefault("nSegments") == 3 and loaded.getOrDefault("asOf") == str(AS_OF)
+    assert sorted(map(tuple, loaded.transform(sample_employers).collect())) == sorted(map(tuple, model.transform(sample_employers).collect()))
+    with pytest.raises(Exception, match="already exists"):
+        model.save(path)
+    model.write().overwrite().save(path)
+    with pytest.raises(ValueError, match="no fitted segmenter model"):
+        seg.RFMSegmenterModel.load(str(tmp_path / "estimator"))
+    with pytest.raises(Exception):
+        seg.RFMSegmenterModel.load(str(tmp_path / "nowhere"))
