@@ -1,19 +1,20 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nystroem landmarks.
 
 The kernel of two strings counts their common subsequences of three letters, each occurrence weighted by
-LAMBDA ** (characters it spans, at most SPAN); what is not a letter only lengthens spans. So i.d-i.o_t and idixot are
-still close to idiot. Strings are the words of a text, and runs of single letters (i d i o t) joined to one; a
-sentence, and so a text, is as toxic as its strongest string, which is also how its label is read (a toxic sentence
-has at least one toxic string, others none: a multiple-instance support vector machine).
+LAMBDA ** (characters it spans, at most SPAN); what is not a letter only lengthens spans. So i.d-i.o_t, id iot and idixot
+are still close to idiot. A text is read as letters and gaps (a run of other characters, whatever its length, is one
+gap), and its strings are overlapping windows that cross white space and punctuation: from the start of every word
+(run of letters) to the end of that word and of each later one, as long as they take at most UNIT characters. A text is as toxic as its
+strongest window, which is also how its label is read (a toxic text has at least one toxic window, others none: a
+multiple-instance support vector machine).
 
 Landmark strings give the Nystroem map K(., L) K(L, L) ** -1/2, in which the machine is linear. As the kernel is an inner
-product of subsequence weights, the whole decision folds into one weight per letter triple, and scoring a string is
-a sum of table look-ups.
+product of subsequence weights, the whole decision folds into one weight per letter triple. Running sums of those weights
+over a text, one for each span, give every window's value by differences.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -30,45 +31,126 @@ LAMBDA, SPAN = 0.7, 9
 #: Letters a-z, 14 classes for all other letters, and the gap symbol.
 BASE = 41
 GAP = BASE - 1
-#: A longer word is read in overlapping windows of this many characters.
-UNIT = 32
+#: Characters of a window at most. A longer word is read in overlapping windows of this size.
+UNIT = 20
 #: The fit's bound: labelled rows per class, least id hash first, of at most so many characters each.
 TRAIN_ROWS = 1500
 TRAIN_CHARS = 20_000
 LANDMARKS, ROUNDS, COST = 160, 4, 4.0
-#: Texts of label 1 that must hold a string for it to be a first witness.
+#: Texts of label 1 that must hold a word for it to be a first witness.
 SUPPORT = 3
+#: Windows of each text of label 0 that come out strongest, and of all texts, which each round adds to the negatives.
+HARD, HARD_ALL = 3, 2000
 THRESHOLD = 0.7
-#: Remembered word scores of a Python worker, and words scored at once.
-MEMO_WORDS = 300_000
-CHUNK = 20_000
+#: Characters of texts read together, and places whose windows are scored at once.
+CHUNK = 1 << 20
+PIECE = 1 << 15
 EMPTY = -3.0
 
+#: The symbol of every character; those beyond the table are gaps.
 _SYMBOL = np.array([ord(c) - 97 if "a" <= c <= "z" else 26 + i % 14 if c.isalpha() else GAP
-                    for i, c in enumerate(map(chr, range(0x250)))], np.int32)
-_SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){2,}(?!\S)")
+                    for i, c in enumerate(map(chr, range(0x32400)))] + [GAP], np.int32)
+#: One character of each symbol, so that windows can be written as text.
+_CHARACTER = np.array([chr(int(np.flatnonzero(_SYMBOL == k)[0])) if k != GAP else " " for k in range(BASE)])
 _PAIRS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 _VALID = np.ones((BASE,) * 3, np.float32)
 _VALID[GAP], _VALID[:, GAP], _VALID[:, :, GAP] = 0, 0, 0
 _VALID = _VALID.ravel()
 
 
-def units(text: str | None) -> set[str]:
-    """The distinct strings of a text that are scored."""
-    text = (text or "").lower()
-    found = set(text.split())
-    found.update("".join(m[0].split()) for m in _SPELLED.finditer(text))
-    return found
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+class Reading(NamedTuple):
+    """Texts as one line of symbols without two gaps in a row, the number of each symbol's text, and the words' borders."""
+    symbols: np.ndarray
+    text: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def window(self, start: int, end: int) -> str:
+        return "".join(_CHARACTER[self.symbols[start:end]])
+
+
+def read(texts: list[str | None]) -> Reading:
+    lower = [(t or "").lower() for t in texts]
+    symbols = _SYMBOL[np.minimum(_points("\n".join([*lower, ""])), len(_SYMBOL) - 1)]
+    letter = symbols != GAP
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    symbols = symbols[keep]
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 1 for t in lower])[keep]
+    edge = np.diff((symbols != GAP).astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    half = UNIT // 2
+    parts = np.where(ends - starts > UNIT, -(-(ends - starts - half) // half), 1)
+    if len(parts) and parts.max() > 1:
+        word = np.repeat(np.arange(len(parts)), parts)
+        starts = starts[word] + half * (np.arange(len(word)) - np.repeat(np.cumsum(parts) - parts, parts))
+        ends = np.minimum(starts + UNIT, ends[word])
+    return Reading(symbols, text, starts, ends)
+
+
+def windows(reading: Reading, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, start, end, decision value) of every window with a three-letter subsequence, as arrays, in pieces ordered by
+    start. The value is the kernel's: the window's own subsequences only, scaled."""
+    symbols, text, starts, ends = reading
+    lo = 0
+    while lo < len(starts):
+        first = starts[lo]
+        hi = int(np.searchsorted(starts, first + PIECE))
+        line = symbols[first:starts[hi - 1] + UNIT].astype(np.int64)
+        n = len(line)
+        letters = np.zeros(n + 1, np.int32)
+        np.cumsum(line != GAP, out=letters[1:])
+        is_letter, left, middle = line != GAP, line * (BASE * BASE), line * BASE
+        # sums by span of what starts before a place; over all spans: at a place, and for what ends before a place
+        sums = np.zeros((2, SPAN, n + 1))
+        begun, ended = np.zeros((2, n + 1)), np.zeros((2, n + 1))
+        for j in range(2, min(SPAN, n)):
+            m = n - j
+            at_j = left[:m] + line[j:]
+            here = weights.take(at_j + middle[1:1 + m], mode="clip")
+            for i in range(2, j):
+                here += weights.take(at_j + middle[i:i + m], mode="clip")
+            between = (letters[j:m + j] - letters[1:m + 1]) * (is_letter[:m] & is_letter[j:])
+            np.cumsum(here * np.float32(LAMBDA ** (j + 1)), out=sums[0, j, 1:m + 1], dtype=np.float64)
+            np.cumsum(between * LAMBDA ** (2 * (j + 1)), out=sums[1, j, 1:m + 1])
+            begun += sums[:, j]
+            ended[:, j:] += sums[:, j, :m + 1]
+        last = min(len(starts), hi + UNIT)
+        for more in range(UNIT):
+            k = np.arange(lo, min(hi, last - more))
+            a, b = starts[k], ends[k + more]
+            k = k[(b - a <= UNIT) & (b - a > 2) & (text[a] == text[b - 1])]
+            if not len(k):
+                if not more:
+                    continue
+                if not (b - a <= UNIT).any():
+                    break
+                continue
+            a, b = starts[k] - first, ends[k + more] - first
+            value, scale = both = ended[:, b] - begun[:, a]
+            short = np.flatnonzero(b - a < SPAN - 1)
+            if len(short):
+                i, to = a[short], b[short]
+                both[:, short] = sum(sums[:, j, np.maximum(to - j, i)] - sums[:, j, i] for j in range(2, SPAN))
+            known = scale > 1e-9
+            k, a, b = k[known], a[known] + first, b[known] + first
+            yield text[a], a, b, value[known] / np.sqrt(scale[known])
+        lo = hi
 
 
-def _windows(word: str) -> list[str]:
-    return [word[i:i + UNIT] for i in range(0, max(1, len(word) - UNIT // 2), UNIT // 2)] if len(word) > UNIT else [word]
+def units(text: str | None) -> set[str]:
+    """The distinct windows of a text that hold a three-letter subsequence, as text (letters that share a symbol: as one)."""
+    reading = read([text])
+    return {reading.window(i, k) for _, a, b, _ in windows(reading, np.zeros(BASE ** 3, np.float32)) for i, k in zip(a, b)}
 
 
 def _codes(words: list[str], size: int) -> np.ndarray:
     """Symbols of words of one length, a row each."""
-    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), size)
-    return np.where(points < 0x250, _SYMBOL[np.minimum(points, 0x24F)], 26 + (points % 14).astype(np.int32))
+    return _SYMBOL[np.minimum(_points("".join(words)), len(_SYMBOL) - 1)].reshape(len(words), size)
 
 
 def _triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
@@ -113,20 +195,36 @@ def feature_table(words: list[str]) -> np.ndarray:
     return out
 
 
+def _groups(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts in groups of about ``CHUNK`` characters, each with the number of its first text."""
+    low, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size >= CHUNK or k == len(texts) - 1:
+            yield low, texts[low:k + 1]
+            low, size = k + 1, 0
+
+
 class Model(NamedTuple):
     weights: np.ndarray  # one per letter triple
     slope: float
     shift: float
 
-    def strings(self, words: list[str]) -> np.ndarray:
-        """The decision value of every string (the largest of its windows)."""
-        parts = [(k, p) for k, w in enumerate(words) for p in _windows(w)]
-        out = np.full(len(words), EMPTY, np.float32)
-        if parts:
-            values = kernel_sums([p for _, p in parts], self.weights[:, None])[:, 0]
-            np.maximum.at(out, [k for k, _ in parts], values)
+    def texts(self, texts: list[str | None]) -> np.ndarray:
+        """The decision value of every text: its strongest window's (``EMPTY`` without a window)."""
+        out = np.full(len(texts), EMPTY)
+        for low, some in _groups(texts):
+            for text, _, _, value in windows(read(some), self.weights):
+                first = np.flatnonzero(np.diff(text, prepend=-1))
+                if len(first):
+                    at = low + text[first]
+                    out[at] = np.maximum(out[at], np.maximum.reduceat(value, first))
         return out
 
+    def strings(self, words: list[str]) -> np.ndarray:
+        """The decision value of windows given as text."""
+        return kernel_sums(words, self.weights[:, None])[:, 0]
+
     def probability(self, value: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.asarray(value, float) + self.shift, -30, 30)))
 
@@ -158,11 +256,32 @@ def _platt(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _words(text: str) -> list[str]:
+    """The distinct words of a text, longer ones in windows."""
+    reading = read([text])
+    return sorted({reading.window(a, b) for a, b in zip(reading.starts, reading.ends)})
+
+
+def _strongest(texts: list[str], weights: np.ndarray, top: int) -> list[tuple[float, int, str]]:
+    """(value, text number, window) of the ``top`` strongest windows of each text."""
+    best = []
+    for low, group in _groups(texts):
+        reading = read(group)
+        found = list(windows(reading, weights))
+        if not found:
+            continue
+        text, a, b, value = map(np.concatenate, zip(*found))
+        order = np.lexsort((b, a, -value, text))
+        rank = np.arange(len(order)) - np.searchsorted(text[order], text[order])
+        best += [(float(value[k]), low + int(text[k]), reading.window(a[k], b[k])) for k in order[rank < top]]
+    return best
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Multiple-instance machine on labelled texts. Without both classes: a model that gives every text the share of
     label 1 (0 if there is no text)."""
     label = np.array(labels, np.int64)
-    bags = [sorted({p for w in units(t) for p in _windows(w)}) for t in texts]
+    bags = [_words(t) for t in texts]
     if len(set(labels)) < 2:
         share = min(max(float(label.mean()) if len(label) else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.zeros(BASE ** 3, np.float32), 0.0, float(np.log(share / (1 - share))))
@@ -171,6 +290,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     number = {w: k for k, w in enumerate(words)}
     n = [len(label) - label.sum(), label.sum()]
     odds = np.array([np.log((seen[1][w] + 0.1) / (n[1] + 1)) - np.log((seen[0][w] + 0.1) / (n[0] + 1)) for w in words])
+    clean_texts = [t for t, y in zip(texts, labels) if not y]
     members = [np.array([number[w] for w in b], np.int64) for b in bags]
     # a text labelled 1 without a string that others confirm may be labelled wrongly: it teaches nothing
     support = np.array([seen[1][w] for w in words])
@@ -178,6 +298,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     least = -np.inf
     clean = np.unique(np.concatenate([m for m, y in zip(members, labels) if not y] or [np.empty(0, np.int64)]))
     by_hash = np.array(sorted(clean.tolist(), key=lambda k: zlib.crc32(words[k].encode())), np.int64)
+    across: list[str] = []  # windows of clean texts that came out strong, most of them over several words
     model = Model(np.zeros(BASE ** 3, np.float32), 1.0, 0.0)
     for _ in range(ROUNDS):
         picked = Counter(int(m[value[m].argmax()]) for m, y in zip(members, labels) if y and len(m) and value[m].max() > least)
@@ -186,23 +307,26 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         hard = clean[np.argsort(-value[clean], kind="stable")[:2000]]
         negative = np.setdiff1d(np.union1d(hard, by_hash[:4000]), np.array(list(picked)))
         positive = np.array([k for k, _ in picked.most_common()], np.int64)
-        marks = [words[k] for k in [*positive[:LANDMARKS // 2], *hard[:LANDMARKS // 4], *by_hash[:LANDMARKS // 4]]]
+        marks = [*(words[k] for k in [*positive[:LANDMARKS // 2], *hard[:LANDMARKS // 4], *by_hash[:LANDMARKS // 4]]),
+                 *across[:LANDMARKS // 4]]
         features = feature_table(sorted(set(marks)))
         gram = features.T.astype(float) @ features
         root, vectors = np.linalg.eigh(gram)
         keep = root > 1e-6 * root.max(initial=1e-6)
         whiten = vectors[:, keep] / np.sqrt(root[keep])
-        rows = np.concatenate([positive, negative])
-        x = kernel_sums([words[k] for k in rows], features).astype(float) @ whiten
-        y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+        others = sorted({words[k] for k in negative}.union(across))
+        x = kernel_sums([*(words[k] for k in positive), *others], features).astype(float) @ whiten
+        y = np.concatenate([np.ones(len(positive)), -np.ones(len(others))])
         counts = np.array([picked[int(k)] for k in positive], float)
-        cost = np.concatenate([COST * np.minimum(counts, 20), np.full(len(negative), COST)])
+        cost = np.concatenate([COST * np.minimum(counts, 20), np.full(len(others), COST)])
         w = _machine(x, y, cost)
         weights = (features.astype(float) @ (whiten @ w[:-1])).astype(np.float32)
         model = Model(weights, 1.0, 0.0)
         value, least = model.strings(words), -w[-1]
-    top = np.array([value[m].max() if len(m) else EMPTY for m in members], float)
-    return model._replace(**dict(zip(("slope", "shift"), _platt(top, label))))
+        taught = {words[int(k)] for k in positive}
+        strong = dict.fromkeys(window for _, _, window in sorted(_strongest(clean_texts, weights, HARD), reverse=True))
+        across = [w for w in dict.fromkeys([*list(strong)[:HARD_ALL], *across]) if w not in taught]
+    return model._replace(**dict(zip(("slope", "shift"), _platt(model.texts(texts), label))))
 
 
 def is_held_out(id_text: Column) -> Column:
@@ -227,38 +351,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.7) of every row.
 
-    A null or blank text is scored like one without a three-letter string. A null id is not held out. Repeated rows
+    A text is read whole, whatever its length. A null or blank text is scored like one without a three-letter string. A null id is not held out. Repeated rows
     stay. Other columns are not looked at. An empty table gives an empty result.
     """
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo: dict[str, float] = {}
-        for texts in batches:
-            out, bags, new = [], [], set()
-
-            def settle():
-                fresh = sorted(new)
-                if len(memo) + len(fresh) > MEMO_WORDS:
-                    memo.clear()
-                    fresh = sorted(set().union(*bags))
-                memo.update(zip(fresh, model.strings(fresh).tolist()))
-                out.extend(max(map(memo.__getitem__, b), default=EMPTY) for b in bags)
-                for w in fresh:
-                    if len(w) > UNIT:
-                        del memo[w]
-                bags.clear()
-                new.clear()
-
-            for text in texts:
-                bag = units(text)
-                bags.append(bag)
-                new.update(w for w in bag if w not in memo)
-                if len(new) >= CHUNK or len(bags) >= 256:
-                    settle()
-            settle()
-            yield pd.Series(model.probability(np.array(out, float)))
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.probability(model.texts(texts.tolist())))
 
     return docs.select(F.col(id_col).alias("doc_id"),
                        F.coalesce(is_held_out(F.col(id_col)), F.lit(False)).alias("held_out"),

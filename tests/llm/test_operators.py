@@ -559,6 +559,50 @@ def test_learns_insults_and_tolerates_gaps():
     assert sum((score(t) >= 0.7) == y for t, y in held) >= 190
 
 
+def slow_windows(text):
+    """Windows by definition: letters and single gaps, from a word's start to a word's end, long words in pieces."""
+    line = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    words, at = [], 0
+    for w in line:
+        step = toxicity.UNIT // 2
+        parts = range(0, max(1, len(w) - step), step) if len(w) > toxicity.UNIT else [0]
+        words += [(at + i, min(at + i + toxicity.UNIT, at + len(w))) for i in parts]
+        at += len(w) + 1
+    joined = " ".join(line)
+    return {joined[a:b] for a, _ in words for _, b in words if 2 < b - a <= toxicity.UNIT}
+
+
+def test_value_of_a_text_is_that_of_its_strongest_window(monkeypatch):
+    rng = random.Random(31)
+    weights = np.random.default_rng(5).normal(size=toxicity.BASE ** 3).astype(np.float32) * toxicity._VALID
+    model = toxicity.Model(weights, 1.0, 0.0)
+    texts = [None, "", " .", "ab", "a b", "Idiot", "x" * 75 + " i  d..i o t", "\u4e00\u4e8c\u4e09 \U0001f600 ab"]
+    texts += ["".join(rng.choice("abcdeé ,  .\n1") for _ in range(rng.randrange(200))) for _ in range(60)]
+    want = []
+    for t in texts:
+        found = [w for w in slow_windows(t) if any(k - i < toxicity.SPAN for i, j, k in combinations(
+            [n for n, c in enumerate(w) if c != " "], 3))]
+        want.append(max(map(float, model.strings(found)), default=toxicity.EMPTY) if found else toxicity.EMPTY)
+    assert model.texts(texts) == pytest.approx(want, abs=1e-4)
+    monkeypatch.setattr(toxicity, "PIECE", 16)
+    monkeypatch.setattr(toxicity, "CHUNK", 100)
+    assert model.texts(texts) == pytest.approx(want, abs=1e-4)
+
+
+def test_split_insults_are_found():
+    rng = random.Random(37)
+    model = toxicity.fit(*map(list, zip(*[(sentences(rng, y), y) for y in [0, 0, 1] * 150])))
+    for insult in ("idiot", "id iot", "i d i o t", "i  d  i  o  t", "i. d. i. o. t.", "mo-ron", "worth less", "m o r o n"):
+        planted = []
+        for _ in range(50):
+            words = sentences(rng, 0).split()
+            words.insert(rng.randint(0, len(words)), insult)
+            planted.append(" ".join(words))
+        assert (model.probability(model.texts(planted)) >= 0.7).mean() >= 0.9, insult
+    clean = [sentences(rng, 0) for _ in range(300)]
+    assert (model.probability(model.texts(clean)) >= 0.7).mean() <= 0.02
+
+
 def test_scores_of_a_table(spark, docs, empty):
     model = toxicity.fit(["you idiot", "the of and", "a moron here", "inning ranth"] * 5, [1, 0, 1, 0] * 5)
     got = toxicity.score_documents(docs, model).collect()
