@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,113 +38,138 @@ MAGIC, VERSION = b"TIDS", 1
 HEADER = struct.Struct("<4sIIIQ")
 #: The four lengths that a control byte holds, first rank in the lowest bits.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
-#: Pieces in each of the two generations that a Python worker remembers. Longer pieces are not kept.
+#: Pieces in each of the two generations that a Python worker remembers. Longer pieces (bytes) are not kept.
 MEMO_PIECES = 600_000
-MEMO_CHARS = 48
-#: Pieces that are encoded as one text, and characters of texts whose new pieces are gathered first.
+MEMO_BYTES = 48
+#: Pieces that are encoded as one text, and characters of texts whose distinct pieces are looked up at once.
 JOINED_PIECES = 200
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 22
 PART_BITS = 24
 #: Signs that a byte-level vocabulary's splitting always parts from a letter before them.
 SIGNS = ".,;:!?$%&*#"
 
+_BLANKS = "\t\n\v\f\r "
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-#: White space other than single blanks and line feeds, and the cut mark: such texts are cut by the expression.
-_ODD_SPACE = re.compile("[\0\t\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: White space that is not ASCII: texts that have it are cut by the expression.
+_ODD_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SIGNED = re.compile(f"[A-Za-z][{re.escape(SIGNS)}]")
+#: The kind of each byte: white space, letter, sign, or any other (0).
+_BLANK, _LETTER, _SIGN = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(_BLANKS.encode())] = _BLANK
+_KIND[list(string.ascii_letters.encode())] = _LETTER
+_KIND[list(SIGNS.encode())] = _SIGN
 
 
 class Encoder:
     """Ids of whole texts. The tokenizer splits a text before each run of white space that follows another character
     and handles what lies between alone, so pieces cut there are encoded once and remembered.
 
-    A sign after a letter is split off too, where the vocabulary's splitting does so, so a word is encoded once with and without
-    it. New pieces that are one blank and a word are encoded many at once, as one text, which costs less than one call for each: the
-    ids are cut where the bytes of their vocabulary entries end. If those ends do not meet the pieces' own (a vocabulary that is
-    not one of bytes), the pieces are encoded one by one. Pieces are remembered in two generations: when the younger is full it
-    becomes the older, from which pieces in use come back, so a worker never starts from nothing.
+    A sign after an ASCII letter is split off too, where the vocabulary's splitting does so, so a word is encoded once with and
+    without it. Texts are cut together, on their bytes, and Arrow numbers the distinct pieces, so that only these are looked up
+    one by one; the ids of all pieces are then gathered by number. New pieces that are white space and a word are encoded many at
+    once, as one text, which costs less than one call for each: the ids are cut where the bytes of their vocabulary entries end.
+    If those ends do not meet the pieces' own (a vocabulary that is not one of bytes), the pieces are encoded one by one. Pieces
+    are remembered in two generations: when the younger is full it becomes the older, from which pieces in use come back, so a
+    worker never starts from nothing.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        self._tokenizer, self._memo, self._older = Tokenizer.from_file(path), {}, {}
-        added = {i: len(t.content.encode()) for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        self._tokenizer = Tokenizer.from_file(path)
+        self._memo: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        added = {i: t.content for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         #: whether a text is split by the usual expression of byte-level vocabularies, between letters and signs too
         splitter = json.loads(self._tokenizer.to_str()).get("pre_tokenizer") or {}
-        self._parts_signs = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") is True
+        self._parts_signs = (splitter.get("type") == "ByteLevel" and splitter.get("use_regex") is True
+                             and not splitter.get("add_prefix_space") and not any(map(_SIGNED.search, added.values())))
         #: bytes of each id's entry, one character of which stands for a byte
         self._bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
         for entry, i in vocabulary.items():
-            self._bytes[i] = added.get(i, len(entry))
+            self._bytes[i] = len(added[i].encode()) if i in added else len(entry)
 
     def ids(self, text: str | None) -> np.ndarray:
         return self.all_ids([text])[0]
 
     def all_ids(self, texts: list[str | None]) -> list[np.ndarray]:
-        cuts = [_cut(t or "") for t in texts]
-        memo = self._memo
-        missing = {p for pieces in cuts for p in pieces if p not in memo}
-        if missing:
-            memo = self._remember(missing)
-        get = memo.__getitem__
-        out = [np.frombuffer(b"".join(map(get, pieces)), "<u4") for pieces in cuts]
-        for p in missing:
-            if len(p) > MEMO_CHARS:
-                del memo[p]
+        encoded = [(t or "").encode() for t in texts]
+        data, text_ends = b"".join(encoded), np.cumsum([len(e) for e in encoded])
+        if not data:
+            return [np.empty(0, "<u4") for _ in texts]
+        starts = self._starts(texts, data, text_ends)
+        bounds = np.append(starts, len(data))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        found = self._found(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        number, known = pieces.indices.to_numpy(), np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        places = np.cumsum(sizes) - sizes
+        counts = sizes[number]
+        ends = np.cumsum(counts)
+        ids = known[np.repeat(places[number] - ends + counts, counts) + np.arange(ends[-1])]
+        cut = np.append(0, ends)[np.searchsorted(starts, text_ends)]
+        return np.split(ids, cut[:-1])
+
+    def _starts(self, texts: list[str | None], data: bytes, text_ends: np.ndarray) -> np.ndarray:
+        """Where in the bytes of all texts the pieces begin; none lies in two texts."""
+        kind = _KIND[np.frombuffer(data, np.uint8)]
+        blank = kind == _BLANK
+        first = np.zeros(len(kind) + 1, bool)
+        first[1:-1] = blank[1:] & ~blank[:-1]
+        if self._parts_signs:
+            first[1:-1] |= (kind[1:] == _SIGN) & (kind[:-1] == _LETTER)
+        for i, text in enumerate(texts):
+            if text and _ODD_SPACE.search(text):
+                begin = text_ends[i - 1] if i else 0
+                first[begin:text_ends[i]] = False
+                first[begin + np.cumsum([len(p.encode()) for p in _PIECES.findall(text)])] = True
+        first[0] = True
+        first[text_ends] = True
+        return np.flatnonzero(first[:-1])
+
+    def _found(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of these distinct pieces, four bytes an id."""
+        memo, older = self._memo, self._older
+        found = list(map(memo.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in missing:
+            ids = older.get(pieces[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = ids
+        if new:
+            for i, ids in zip(new, self._encoded([pieces[i].decode() for i in new])):
+                found[i] = ids
+        memo.update([(pieces[i], found[i]) for i in missing if len(pieces[i]) <= MEMO_BYTES])
         if len(memo) > MEMO_PIECES:
             self._older, self._memo = memo, {}
-        return out
-
-    def _remember(self, missing: set[str]) -> dict[str, bytes]:
-        """The younger memory, with the ids of these pieces."""
-        memo, older = self._memo, self._older
-        again = {p: older[p] for p in missing if p in older} if older else {}
-        memo.update(again)
-        new = [p for p in missing if p not in again] if again else missing
-        fresh: dict[str, bytes] = {}
-        signed: list[tuple[str, str]] = []
-        parts = new
-        if self._parts_signs:
-            ending = [p for p in new if p[-1] in SIGNS]
-            signed = [(p, core) for p in ending if (core := p.rstrip(SIGNS)) and core[-1].isalpha()]
-            parts = set(new).difference([p for p, _ in signed])
-            parts.update(x for x in {core for _, core in signed} | {p[len(core):] for p, core in signed} if x not in memo)
-        words = [p for p in parts if len(p) > 1 and p[0] == " " and not p[1].isspace()]
-        if words:
-            self._encode_joined([words[i:i + JOINED_PIECES] for i in range(0, len(words), JOINED_PIECES)], fresh)
-        rest = [p for p in parts if p not in fresh]
-        for p, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
-            fresh[p] = np.array(e.ids, "<u4").tobytes()
-        memo.update(fresh)
-        for p, core in signed:
-            memo[p] = memo[core] + memo[p[len(core):]]
-        for p in fresh:
-            if len(p) > MEMO_CHARS and p not in missing:
-                del memo[p]
-        return memo
-
-    def _encode_joined(self, groups: list[list[str]], fresh: dict[str, bytes]) -> None:
-        """The ids of groups of words, each group encoded as one text."""
-        found = self._tokenizer.encode_batch_fast(["".join(words) for words in groups], add_special_tokens=False)
-        for words, e in zip(groups, found):
+        return found
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(pieces)
+        words = [i for i, p in enumerate(pieces) if p[0] in _BLANKS and not p[-1].isspace()]
+        groups = [words[k:k + JOINED_PIECES] for k in range(0, len(words), JOINED_PIECES)]
+        joined = ["".join([pieces[i] for i in group]) for group in groups]
+        for group, e in zip(groups, self._tokenizer.encode_batch_fast(joined, add_special_tokens=False) if joined else ()):
             ids = np.array(e.ids, "<u4")
             ends = np.cumsum(self._bytes[ids])
-            due = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+            due = np.cumsum([len(pieces[i].encode()) for i in group])
             at = np.searchsorted(ends, due)
             if at[-1] != len(ids) - 1 or (ends[at] != due).any():
                 continue
             raw, cut = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
-            fresh.update(zip(words, [raw[a:b] for a, b in zip(cut, cut[1:])]))
-
-
-def _cut(text: str) -> list[str]:
-    """The pieces of a text, in order; joined they are the text."""
-    if _ODD_SPACE.search(text) or any(pair in text for pair in ("  ", "\n\n", " \n", "\n ")):
-        return _PIECES.findall(text)
-    first, *others = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-    return [first, *others] if first else others
+            for i, a, b in zip(group, cut, cut[1:]):
+                out[i] = raw[a:b]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, self._tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False) if rest else ()):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str | None]]]:

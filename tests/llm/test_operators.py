@@ -656,6 +656,44 @@ def test_joined_pieces_equal_the_tokenizer(monkeypatch, memo, joined):
     assert len(own._memo) <= memo + 50 * 30 and len(own._older) <= memo + 50 * 30
 
 
+def test_repeated_pieces_are_looked_up_once_a_chunk():
+    """The cost of a text's repeated words is not one look-up in Python for each."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, plain = token_binary.Encoder(path), Tokenizer.from_file(path)
+    asked = []
+
+    class Counting(dict):
+        def __contains__(self, piece):
+            asked.append(piece)
+            return super().__contains__(piece)
+
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+        def get(self, piece, *default):
+            asked.append(piece)
+            return super().get(piece, *default)
+
+    own._memo = Counting()
+    words = [f"word{i}" for i in range(20)]
+    texts = [" ".join(random.Random(i).choices(words, k=400)) + f", and\xa0é{i}." for i in range(30)] + [None, ""]
+    for text, ids in zip(texts, own.all_ids(texts)):
+        assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
+    assert len(asked) < 1_000  # of 12,000 words
+
+
+def test_signs_are_not_parted_inside_an_added_token(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.add_tokens([AddedToken("e.g.", normalized=False)])
+    plain.save(str(tmp_path / "added.json"))
+    own = token_binary.Encoder(str(tmp_path / "added.json"))
+    for text in ("so e.g. one", "e.g.", "a. e.g.e.g.! b", "the end. xe.g.x"):
+        assert own.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_a_vocabulary_that_is_not_of_bytes_is_encoded_piece_by_piece(tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
     plain = Tokenizer(models.WordLevel({"[U]": 0, "one": 1, "two": 2}, unk_token="[U]"))
