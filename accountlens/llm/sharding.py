@@ -11,13 +11,17 @@ the number of sources or the share of the largest one.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accountlens.llm.common import RANK_BUCKET_ROWS, free_name, ranked, running_offsets, shuffle_key, stratum, table
+from accountlens.session import materialize, scratch_path
 
 SEED = 20
 SHARDS = 16
+#: Files up to which their offsets are broadcast (a path and an integer a row).
+BROADCAST_FILES = 200_000
 
 
 def _bucket_offsets(sizes: DataFrame, size_col: str, buckets: int) -> DataFrame:
@@ -81,6 +85,49 @@ def deal(rows: DataFrame, position_col: str, shards: int = SHARDS) -> DataFrame:
             .withColumn("slot", F.expr(f"`{position}` div {shards}")).drop(position))
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    path = scratch_path(rows.sparkSession, "row-order")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _file_offsets(files: DataFrame) -> DataFrame:
+    """``path`` and ``before``, the rows of all earlier files: by the number that Spark's writer gave (others first), then by
+    path. ``files``: path, name, size."""
+    numbered = files.withColumn("number", F.coalesce(F.regexp_extract("name", "^part-([0-9]+)", 1).try_cast("long"), F.lit(-1)))
+    starts = running_offsets(numbered.groupBy("number").agg(F.sum("size").alias("rows")), "number", "rows", "start")
+    up_to = Window.partitionBy("number").orderBy(F.length("path"), "path").rowsBetween(Window.unboundedPreceding, 0)
+    inside = numbered.withColumn("inside", F.sum("size").over(up_to) - F.col("size"))
+    return inside.join(starts.select("number", "start"), "number").select("path", (F.col("start") + F.col("inside")).alias("before"))
+
+
+def in_file_order(rows: DataFrame, position_col: str) -> DataFrame:
+    """Append the place of every row, 0, 1, ... without gaps, in the order of the Parquet files that ``rows`` was read from:
+    by the number in the file's name, then by the row's index in the file.
+
+    A reader may return files and their splits in any order, so both are taken from the file metadata of each row.
+    If some rows of the files are left out or repeated, the rest is written in their order first; rows that come from no
+    Parquet file are written as they stand. An empty table gives an empty result.
+    """
+    path, name, index, before = (free_name(rows, n) for n in ("__path", "__name", "__index", "__before"))
+    try:
+        file = rows.metadataColumn("_metadata")
+        placed = rows.select("*", file["file_path"].alias(path), file["file_name"].alias(name), file["row_index"].alias(index))
+    except AnalysisException:
+        return in_file_order(_written(rows), position_col)
+    files = materialize(placed.groupBy(F.col(path).alias("path"), F.col(name).alias("name"))
+                        .agg((F.max(index) + 1).alias("size"), F.count(F.lit(1)).alias("rows"), F.sum(index).alias("indexes")))
+    whole = (F.col("rows") == F.col("size")) & (2 * F.col("indexes") == F.col("size") * (F.col("size") - 1))
+    all_whole, count = files.agg(F.bool_and(whole), F.count(F.lit(1))).first()
+    starts = _file_offsets(files).select(F.col("path").alias(path), F.col("before").alias(before))
+    placed = (placed.join(F.broadcast(starts) if count <= BROADCAST_FILES else starts, path)
+              .withColumn(position_col, F.col(before) + F.col(index)).drop(path, name, index, before))
+    if all_whole is False:
+        ordered = placed.repartitionByRange(position_col).sortWithinPartitions(position_col).drop(position_col)
+        return in_file_order(_written(ordered), position_col)
+    return placed
+
+
 def sharded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op2: every document's shard and slot, law ``rows``."""
     docs = table(spark, sf_dir, "documents").select(

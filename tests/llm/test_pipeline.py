@@ -127,6 +127,30 @@ def test_mix_and_shards_keep_every_row_in_the_order_of_the_schedule(spark, tmp_p
     assert filed == expected
 
 
+def test_shards_follow_the_order_that_the_mix_wrote(spark, tmp_path):
+    """The last stage deals out what it is given, so another mix gives other shards."""
+    given = spark.range(0, 4_000, numPartitions=1).select(
+        ((F.col("id") * 1_367 + 5) % 4_000).alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    order = [(i * 1_367 + 5) % 4_000 for i in range(4_000)]
+    dealt = lambda df: [r["doc_id"] for r in sorted(df.collect(), key=lambda r: (r["slot"], r["shard"]))]
+    places = lambda df: sorted((r["slot"], r["shard"]) for r in df.collect())
+    # files of unequal sizes, several of one task, more than one digit long
+    (given.withColumn("part", F.floor(F.sqrt(F.monotonically_increasing_id())).cast("int"))
+     .repartitionById(64, F.col("part")).drop("part").write.option("maxRecordsPerFile", 37).parquet(f"{tmp_path}/mixed"))
+    mixed = spark.read.parquet(f"{tmp_path}/mixed")
+    assert len(mixed.inputFiles()) > 100
+    out = corpus_pipeline.shard(spark, mixed, "")
+    assert dealt(out) == order and places(out) == [divmod(p, 16) for p in range(4_000)]
+    # some rows left out, rows twice, rows of no file
+    some = corpus_pipeline.shard(spark, mixed.where("doc_id % 3 > 0"), "")
+    assert dealt(some) == [i for i in order if i % 3] and places(some) == [divmod(p, 16) for p in range(len(dealt(some)))]
+    twice = corpus_pipeline.shard(spark, mixed.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))).drop("k"), "")
+    assert dealt(twice) == [i for i in order for _ in range(2)] and places(twice) == [divmod(p, 16) for p in range(8_000)]
+    made = corpus_pipeline.shard(spark, spark.createDataFrame([(i, "t", "en", "a", 1) for i in order], given.schema), "")
+    assert dealt(made) == order
+
+
 def test_stages_take_an_empty_table_and_extra_columns(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, phase int, "
